@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +31,25 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow(df: DataFrame, function, schema: str) -> DataFrame:
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's code to the executors, once for each application; the driver serves the file."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        at = Path(tempfile.mkdtemp(prefix="claimforge-")) / "claimforge-code.zip"
+        with zipfile.ZipFile(at, "w") as z:
+            for p in sorted(package.rglob("*.py")):
+                z.write(p, p.relative_to(package.parent))
+        sc.addPyFile(str(at))
+        _shipped.add(sc.applicationId)
+
+
+def arrow(df: DataFrame, function, schema) -> DataFrame:
     """mapInArrow; Spark bounds a batch by spark.sql.execution.arrow.maxBytesPerBatch, so long texts fit."""
+    ship(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 

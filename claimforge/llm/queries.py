@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, quality_rules, resampling, simhash, toxicity
+from . import byte_bpe, decontamination, pii, quality_rules, resampling, simhash, token_store, toxicity, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,11 +34,29 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.resolve(warc.captures(table(spark, sf_dir, "pages"))))
+
+
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = token_store.new_store(spark)
+    token_store.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), store)
+    return token_store.digests(spark, store)
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).drop("score")
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_decontamination, op3_quality_rules, op4_byte_bpe, op5_simhash, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_decontamination, op3_quality_rules, op4_byte_bpe, op5_simhash, op6_warc_revisits, op7_token_store, op8_url_filter, op9_pii, op10_toxicity)}
 
 #: Words and five-word shingles as the operators take them.
 SHINGLES = r"""
@@ -54,4 +72,6 @@ n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id)
 SELECT doc_id, item_id, n_shared, n_item FROM (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id) JOIN n USING (item_id)
 WHERE n_shared >= 0.8 * n_item - 1e-9
 """,
+    "op6_warc_revisits": warc.ORACLE_SQL,
+    "op8_url_filter": url_filter.oracle_sql(),
 }

@@ -3,7 +3,7 @@
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, with A-Z in lower case. Path: then up to
 ``?``, ``#`` or the end. Null or no ``://``: both empty. The longest rule that fits decides; else the model does.
 
-The model's features are the distinct hashed 3-grams of host and path, of unit length as a vector. It is
+The model's features are the distinct hashed 3- to 5-grams of host and path, of unit length as a vector. It is
 trained by gradient descent in its dual form: a weight per labelled URL over their Gram matrix, a small array
 that one expression folds over all steps. The labelled table must stay small (``most`` rows, an error beyond).
 Every row gives one row, also repeated ones; extra columns are ignored. An empty URL has no features and gets
@@ -13,41 +13,48 @@ the sign of the constant.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKETS, STEPS, RATE, DECAY = 1 << 12, 300, 2.0, 1e-3
-#: Multipliers of the code points of a 3-gram in its hash.
-FACTORS = (961, 31, 1)
+BUCKETS, STEPS, RATE, DECAY = 1 << 13, 300, 2.0, 1e-3
+#: Lengths of n-grams, and the base of their polynomial hash over code points.
+SIZES, BASE = (3, 4, 5), 131
 
 #: (host and path of the rule, verdict).
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 
-# The labelled URLs. Invented addresses of the kinds that a filter should tell apart.
+# The labelled table: names of sites to block and to allow, fixed values, each put into one of the FRAMES by its
+# place, so that both labels see the same schemes, subdomains, domains and paths.
 BLOCKED = """
-http://cheap-pills.test/en/12 https://www.cheap-meds.test/de/4 http://pills-online.test/fr/8 https://buy-pills-cheap.test/ http://m.pharma-pills.test/es/33
-https://casino-win.test/en/7 http://www.win-casino.test/fr/90 https://royal-casino.test/slots http://casino-bonus.test/es/2 https://blog.big-win.test/en/61
-http://free-bets.test/de/5 https://www.free-bets-now.test/en/18 http://bets-today.test/fr/44 https://sports-bets.test/es/71 http://free-spins.test/en/3
-https://adult-x.test/en/1 http://www.adult-videos.test/fr/6 https://xxx-adult.test/de/29 http://m.adult-cams.test/es/15 https://hot-x-adult.test/
-http://spam-farm.test/en/9 https://www.link-farm.test/de/70 http://farm-spam-links.test/fr/52 https://seo-spam.test/es/8 http://blog.spam-blog.test/en/27
-https://poker-free.test/en/40 http://www.poker-cash.test/de/13 https://payday-loans.test/en/77 http://easy-cash-loans.test/fr/21 https://warez-crack.test/download
-http://replica-watches.test/en/65 https://www.miracle-diet.test/es/39 http://viagra-cheap.test/de/11 https://free-money-now.test/en/2 http://hot-singles.test/fr/17 https://lottery-win.test/es/84
+cheap-pills cheap-meds pills-online buy-pills pharma-pills casino-win win-casino royal-casino casino-bonus big-win free-bets bets-now
+sports-bets best-bets free-spins adult-x adult-videos xxx-adult adult-cams x-rated spam-farm link-farm farm-links seo-spam spam-blog
+poker-free poker-cash payday-loans cash-loans warez-crack replica-watch miracle-diet viagra-cheap free-money hot-singles lottery-win
+ads-track track-ads ad-server click-track popup-ads adtracker casino365 cheappills freebets spamfarm
 """
 ALLOWED = """
-http://thornery.test/en/12 https://www.mentation.test/de/4 http://louvrent.test/fr/8 https://encyclopedia.test/ http://m.herander.test/es/33
-https://weather.test/en/7 http://www.university.test/fr/90 https://library.test/catalogue http://thering.test/es/2 https://blog.travelling.test/en/61
-http://science.test/de/5 https://www.museum.test/en/18 http://ministere.test/fr/44 https://ciudades.test/es/71 http://theatre.test/en/3
-https://gardening.test/en/1 http://www.cuisine.test/fr/6 https://zeitungen.test/de/29 http://m.noticias.test/es/15 https://history.test/
-http://thresher.test/en/9 https://www.stadtrat.test/de/70 http://jardinage.test/fr/52 https://recetas.test/es/8 http://blog.ethereal.test/en/27
-https://physics.test/en/40 http://www.bahnhof.test/de/13 https://council.test/en/77 http://bibliotheque.test/fr/21 https://opensource.test/download
-http://athletics.test/en/65 https://www.hospital.test/es/39 http://wanderung.test/de/11 https://astronomy.test/en/2 http://theorem.test/fr/17 https://biblioteca.test/es/84
+weather university library thornery mentation herander science museum ministere ciudades theatre gardening cuisine zeitungen noticias history
+thresher stadtrat jardinage recetas ethereal physics bahnhof council bibliotheque opensource athletics hospital wanderung astronomy theorem
+biblioteca thandor erinth tionale anthen ouedor reshand whester hathern ingtion blethe thesha stioned orthand enthly themble northe whither
+tither gather theanin breathe smooth-stone north-west saint-denis well-being town-hall tionwell hethnor thorsten thinhe anther withre
+the-herald open-data river-side shotting threnody rhythm mathe ethos athene other tintern nationing rationale sthene
 """
+FRAMES = tuple(f"{scheme}://{sub}{{}}.{domain}{path}" for scheme, sub, domain, path in (
+    ("http", "", "example.com", "/en/12"), ("https", "www.", "example.net", "/de/4.html"), ("http", "m.", "example.org", "/fr/835/"),
+    ("https", "blog.", "example.com", "/es/33?page=2"), ("https", "", "example.org", "/en/90#top"), ("http", "www.", "example.com", "/fr/6"),
+    ("https", "m.", "example.net", "/de/777"), ("http", "blog.", "example.org", "/en/261/"), ("https", "", "example.net", "/es/15.html"),
+    ("http", "www.", "example.org", "/de/504"), ("https", "m.", "example.com", "/en/48"),
+))
+
+
+def urls(names: str) -> list[str]:
+    return [FRAMES[k % len(FRAMES)].format(name) for k, name in enumerate(names.split())]
 
 
 def labelled(spark: SparkSession) -> DataFrame:
     """(url, label): the small table the filter ships with."""
-    rows = ", ".join(f"('{u}', {y})" for y, urls in ((1, BLOCKED), (0, ALLOWED)) for u in urls.split())
+    rows = ", ".join(f"('{u}', {y})" for y, names in ((1, BLOCKED), (0, ALLOWED)) for u in urls(names))
     return spark.sql(f"SELECT col1 AS url, col2 AS label FROM VALUES {rows}")
 
 
@@ -60,11 +67,15 @@ def host_path(url: Column) -> tuple[Column, Column]:
 
 
 def grams(host: Column, path: Column, buckets: int) -> Column:
-    """The distinct hashed 3-grams of host and path; the host is marked at both ends."""
+    """The distinct hashed n-grams of host and path; the host is marked at both ends."""
     text = F.concat(F.lit("^"), host, F.lit("$"), path)
     code = lambda i: F.ascii(F.substring(text, i, 1)).cast("long")
-    hashed = F.transform(F.sequence(F.lit(1), F.length(text) - 2), lambda i: ((code(i) * FACTORS[0] + code(i + 1) * FACTORS[1] + code(i + 2) * FACTORS[2]) % buckets).cast("int"))
-    return F.when(F.length(host) + F.length(path) > 0, F.array_distinct(hashed)).otherwise(F.array().cast("array<int>"))
+
+    def hashed(n: int) -> Column:
+        value = lambda i: reduce(lambda s, j: s * BASE + code(i + j), range(n), F.lit(n).cast("long"))
+        return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: (value(i) % buckets).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+    return F.when(F.length(host) + F.length(path) > 0, F.array_distinct(F.concat(*map(hashed, SIZES)))).otherwise(F.array().cast("array<int>"))
 
 
 def fit(table: DataFrame, buckets: int = BUCKETS, steps: int = STEPS, rate: float = RATE, decay: float = DECAY, most: int = 1000) -> tuple[float, list[float]]:
@@ -121,10 +132,12 @@ def judge(pages: DataFrame, table: DataFrame | None = None, rules: tuple[tuple[s
 
 def oracle_sql(buckets: int = BUCKETS, steps: int = STEPS, rate: float = RATE, decay: float = DECAY) -> str:
     """The same in DuckDB SQL, training included, without the score."""
-    values = ", ".join(f"('{u}', {y})" for y, urls in ((1, BLOCKED), (0, ALLOWED)) for u in urls.split())
+    values = ", ".join(f"('{u}', {y})" for y, names in ((1, BLOCKED), (0, ALLOWED)) for u in urls(names))
     split = r"""SELECT *, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path
 FROM (SELECT *, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM {})"""
-    gram = f"""SELECT *, CASE WHEN host || path = '' THEN [] ELSE list_sort(list_distinct([(unicode(t[i:i]) * {FACTORS[0]} + unicode(t[i+1:i+1]) * {FACTORS[1]} + unicode(t[i+2:i+2]) * {FACTORS[2]}) % {buckets} FOR i IN range(1, len(t) - 1)])) END AS b
+    value = lambda n: reduce(lambda e, j: f"({e} * {BASE} + unicode(t[i+{j}:i+{j}]))", range(n), f"{n}::BIGINT")
+    lists = " || ".join(f"[{value(n)} % {buckets} FOR i IN range(1, len(t) - {n - 2})]" for n in SIZES)
+    gram = f"""SELECT *, CASE WHEN host || path = '' THEN [] ELSE list_sort(list_distinct({lists})) END AS b
 FROM (SELECT *, '^' || host || '$' || path AS t FROM ({split}))"""
     cases = lambda what: " ".join(f"WHEN (host = '{a}' OR host LIKE '%.{a}') AND path LIKE '/{u}%' THEN '{what(r, v)}'" for r, v in sorted(RULES, key=lambda r: -len(r[0])) for a, _, u in [r.partition("/")])
     return f"""

@@ -171,7 +171,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links(least.select("fp")))
     linked = roots.join(least, roots.node == least.fp).select("fp", "root", "least")
     linked = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(F.col("fp").alias("linked_fp"), "component_id")
-    ids = least.join(linked, least.fp == linked.linked_fp, "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    # cut, so that both sides of the last join are plain exchanges, and Spark can split a common fingerprint's rows
+    ids = cut(least.join(linked, least.fp == linked.linked_fp, "left").select("fp", F.coalesce("component_id", "least").alias("component_id")))
     return own.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 

@@ -81,7 +81,9 @@ def entries(fps: DataFrame) -> DataFrame:
     for k, free in enumerate(combinations(range(8), 2)):
         kept = signed(~sum(255 << 8 * p for p in free) & ((1 << 64) - 1))
         keys.append(F.struct(F.lit(k).cast("byte").alias("free"), F.col("fp").bitwiseAND(F.lit(kept)).alias("bytes")))
-    index = fps.select("fp", F.explode(F.array(*keys)).alias("key"))
+    # a small table here becomes 28 times as large: dealt out first, with a number of parts that Spark keeps
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = fps.repartition(parts, "fp").select("fp", F.explode(F.array(*keys)).alias("key"))
     return index.groupBy("key").agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1).select("fps")
 
 

@@ -258,19 +258,25 @@ class Ranks:
         return [x for x in ids if x >= 0]
 
 
-class Cache:
-    """Ids of slices by hash, in one flat array; emptied when it holds ``limit`` slices, as it can be refilled."""
-
-    def __init__(self, limit: int = 400_000):
-        self.limit = limit
-        self.clear()
+class Shelf:
+    """Ids of slices by hash, in one flat array."""
 
-    def clear(self) -> None:
+    def __init__(self):
         self.at: dict[int, int] = {}
         self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
         self.ids, self.used = np.zeros(1 << 18, np.int32), 0
 
-    def add(self, keys: list[int], sizes: np.ndarray, ids: np.ndarray) -> None:
+    def find(self, keys: list[int]) -> np.ndarray:
+        """The place of each key, or -1."""
+        get = self.at.get
+        return np.fromiter((get(k, -1) for k in keys), np.int64, len(keys))
+
+    def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self.size[places].astype(np.int64)
+        return sizes, self.ids[ragged(self.start[places], sizes)]
+
+    def add(self, keys: list[int], sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """The places of new keys."""
         n, m = len(self.at), len(keys)
         while n + m > len(self.start):
             self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
@@ -281,24 +287,31 @@ class Cache:
         self.ids[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
         self.at.update(zip(keys, range(n, n + m), strict=True))
+        return np.arange(n, n + m)
+
+
+class Cache:
+    """Ids of slices in two generations of ``limit`` slices each: what is used again moves to the new one, so common slices stay."""
+
+    def __init__(self, limit: int = 500_000):
+        self.limit, self.new, self.old = limit, Shelf(), Shelf()
 
     def look(self, hashes: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
         """Sizes and ids of all slices, in order. make(first positions of the slices not held) gives their sizes and ids."""
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.at) + len(keys) > self.limit:
-            self.clear()
+        if len(self.new.at) + len(keys) > self.limit:
+            self.old, self.new = self.new, Shelf()
         listed = keys.tolist()
-        get = self.at.get
-        slot = np.fromiter((get(k, -1) for k in listed), np.int64, len(listed))
-        new = np.flatnonzero(slot < 0)
-        if len(new):
-            base = len(self.at)
-            sizes, ids = make(first[new])
-            self.add(keys[new].tolist(), sizes, ids)
-            slot[new] = base + np.arange(len(new))
-        slot = slot[inverse.reshape(-1)]
-        sizes = self.size[slot].astype(np.int64)
-        return sizes, self.ids[ragged(self.start[slot], sizes)]
+        place = self.new.find(listed)
+        away = np.flatnonzero(place < 0)
+        if len(away) and self.old.at:
+            there = self.old.find(keys[away].tolist())
+            again = away[there >= 0]
+            place[again] = self.new.add(keys[again].tolist(), *self.old.take(there[there >= 0]))
+            away = away[there < 0]
+        if len(away):
+            place[away] = self.new.add(keys[away].tolist(), *make(first[away]))
+        return self.new.take(place[inverse.reshape(-1)])
 
 
 class Encoder:

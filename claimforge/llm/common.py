@@ -27,7 +27,7 @@ def cut(df: DataFrame) -> DataFrame:
 def written(df: DataFrame, what: str) -> DataFrame:
     """The same rows, written as a table in the shared folder and read again."""
     path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

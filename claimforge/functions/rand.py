@@ -40,3 +40,18 @@ def sample(items: Column, n: Column | int, *parts: Column | str | int) -> Column
 def pick(items: Column, *parts: Column | str | int) -> Column:
     """One item, or null of an empty array."""
     return F.get(items, integer(0, F.size(items) - 1, *parts))
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def strings(values) -> Column:
+    """A literal array of strings; one expression to parse, where a call for each value would be slow to build."""
+    return F.expr(f"cast(array({', '.join(map(quoted, values))}) as array<string>)")
+
+
+def table(entries: dict) -> Column:
+    """A literal map from strings to strings or arrays of strings."""
+    value = lambda v: quoted(v) if isinstance(v, str) else f"cast(array({', '.join(map(quoted, v))}) as array<string>)"
+    return F.expr(f"map({', '.join(f'{quoted(k)}, {value(v)}' for k, v in entries.items())})")

@@ -35,6 +35,7 @@ TEMPLATES = {name: [(f"{prefix}{i:02}", f"{a} {b}") for i, (a, b) in enumerate(i
 def query(family: str, *parts: Column | str | int, event: Column | None = None) -> Column:
     """A drawn template as struct (template_id, text); an unknown family falls back on OBJECT_SET."""
     rows = TEMPLATES.get(family, TEMPLATES["OBJECT_SET"])
-    chosen = rand.pick(F.array(*(F.struct(F.lit(i).alias("template_id"), F.lit(t).alias("text")) for i, t in rows)), *parts)
-    text = chosen.text if event is None else F.replace(chosen.text, F.lit("{event}"), event)
-    return F.struct(chosen.template_id.alias("template_id"), text.alias("text"))
+    number = rand.integer(0, len(rows) - 1, *parts)
+    text = F.get(rand.strings(t for _, t in rows), number)
+    text = text if event is None else F.replace(text, F.lit("{event}"), event)
+    return F.struct(F.get(rand.strings(i for i, _ in rows), number).alias("template_id"), text.alias("text"))

@@ -293,7 +293,7 @@ class Shelf:
 class Cache:
     """Ids of slices in two generations of ``limit`` slices each: what is used again moves to the new one, so common slices stay."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 250_000):
         self.limit, self.new, self.old = limit, Shelf(), Shelf()
 
     def look(self, hashes: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import platform
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,10 +52,23 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
+#: Bytes of a batch that goes to Python. Workers hold a few batches and their arrays at a time.
+BATCH_BYTES = "16m"
+
+
 def arrow(df: DataFrame, function, schema) -> DataFrame:
-    """mapInArrow; Spark bounds a batch by spark.sql.execution.arrow.maxBytesPerBatch, so long texts fit."""
+    """mapInArrow with batches of about BATCH_BYTES (one row at least); workers give freed memory back after each task."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if platform.libc_ver()[0] == "glibc":
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return df.mapInArrow(run, schema)
 
 
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -293,16 +294,11 @@ def redact(docs: DataFrame, text_col: str = "text", size_col: str | None = "n_ch
                 if found:
                     changed[d] = masked(s, found)
             if changed:
-                columns = list(batch.columns)
-                texts = columns[at].to_pylist()
-                for d, s in changed.items():
-                    texts[d] = s
-                columns[at] = pa.array(texts, columns[at].type)
+                columns, mask = list(batch.columns), np.zeros(batch.num_rows, bool)
+                mask[list(changed)] = True
+                columns[at] = pc.replace_with_mask(columns[at], pa.array(mask), pa.array(list(changed.values()), columns[at].type))
                 if size is not None:
-                    sizes = columns[size].to_pylist()
-                    for d, s in changed.items():
-                        sizes[d] = len(s)
-                    columns[size] = pa.array(sizes, columns[size].type)
+                    columns[size] = pc.replace_with_mask(columns[size], pa.array(mask), pa.array([len(s) for s in changed.values()], columns[size].type))
                 batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
             yield batch
 

@@ -131,13 +131,17 @@ def suspects(text: Text) -> tuple[np.ndarray, np.ndarray]:
         return starts, ends
     buf = text.buf
     letter, leet, between = LETTER[buf], IS_LEET[buf], IS_BETWEEN[buf]
-    n = text.n
+    n = text.n + 4  # into the padding, so that no slice below is shorter than its offset
     sign = np.zeros(n + 1, bool)
-    # a symbol with a letter after it, or between letters and the word's end
-    sign[:n] = leet[:n] & letter[1 : n + 1]
-    sign[1:n] |= leet[1:n] & letter[: n - 1] & (buf[1:n] >= 48) & (buf[1:n] <= 57)
-    sign[: n - 2] |= letter[: n - 2] & (buf[: n - 2] == buf[1 : n - 1]) & (buf[1 : n - 1] == buf[2:n]) & (buf[: n - 2] < 128)
-    dotted = letter[: n - 2] & between[1 : n - 1] & letter[2:n]
+    # byte i and the next stand in one document; two steps
+    same = np.ones(n + 1, bool)
+    same[text.offsets[1:] - 1] = False
+    both = same[: n - 2] & same[1 : n - 1]
+    # a symbol with a letter after it, or a digit with a letter before it
+    sign[:n] = leet[:n] & letter[1 : n + 1] & same[:n]
+    sign[1:n] |= leet[1:n] & letter[: n - 1] & (buf[1:n] >= 48) & (buf[1:n] <= 57) & same[: n - 1]
+    sign[: n - 2] |= letter[: n - 2] & (buf[: n - 2] == buf[1 : n - 1]) & (buf[1 : n - 1] == buf[2:n]) & (buf[: n - 2] < 128) & both
+    dotted = letter[: n - 2] & between[1 : n - 1] & letter[2:n] & both
     sign[: n - 4] |= dotted[:-2] & dotted[2:] & ~WHITE[buf[1 : n - 3]] & ~WHITE[buf[3 : n - 1]]
     seen = np.concatenate([[0], np.cumsum(sign)])
     odd = seen[ends] > seen[starts]

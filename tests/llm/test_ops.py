@@ -1,0 +1,359 @@
+"""Each operator against a brute-force version, on small tables with nulls, empty and long texts, repeats and clashing columns."""
+
+import base64
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import tiktoken
+import tokenizers
+import xxhash
+
+from claimforge.llm import byte_bpe, decontamination, pii, quality_rules, resampling, simhash, token_store, toxicity, url_filter, warc
+from claimforge.llm.vectext import Text, blocks, text_bytes
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SF = "/root/testdata/sf0.001"
+LONG = "word " * 30_000 + "x" * 50_000
+ODD = [None, "", "a", "  \n\t ", "Two words", "é ü ñ", "a a a a a a a a a a", "Same line\nSame line\n\nother", "mail me@x.org or +1 (555) 123-4567; 4111111111111111, 10.0.0.1", LONG]
+
+
+def lower(s):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), s)
+
+
+def words(s):
+    return WORD.findall(lower(s))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    real = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()][:80]
+    rows = real + [(1000 + i, t) for i, t in enumerate(ODD)] + [real[0], (1001, ""), (None, "null id text")]
+    # extra columns with the operators' own names
+    return spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, kept int, fp string")
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], "doc_id long, text string")
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.read.parquet(f"{SF}/labels.parquet")
+
+
+def pairs(df):
+    return [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
+
+
+def test_quality_rules(docs, empty):
+    got = Counter(tuple(r)[:7] for r in quality_rules.rules(docs).collect())
+
+    def brute(i, s):
+        w, lines = WORD.findall(s), [x for x in s.split("\n") if WORD.search(x)]
+        n = Counter(tuple(w[k : k + 8]) for k in range(len(w) - 7))
+        again = {k + j for k in range(len(w) - 7) if n[tuple(w[k : k + 8])] > 1 for j in range(8)}
+        return i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", s)), len(lines) - len(set(lines)), len(again), len(w) < 20 or 100 * len(again) > 30 * len(w)
+
+    assert got == Counter(brute(i, s) for i, s in pairs(docs))
+    assert all(not r.kept for r in quality_rules.rules(docs).collect() if r.base_failed)
+    assert quality_rules.rules(empty).count() == 0
+
+
+def test_compression_bands(spark, labels):
+    noise = base64.b64encode(np.random.default_rng(1).bytes(9000)).decode()
+    prose = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").join(labels.filter("quality = 1"), "doc_id").filter("n_chars > 300").collect()]
+    data, offsets = text_bytes(pa.array([noise, "spam " * 2000, *prose]))
+    kept = quality_rules.compress(Text(data, offsets), quality_rules.Bands())["kept"].tolist()
+    assert kept == [False, False] + [True] * len(prose)
+
+
+def test_simhash_against_brute_force(docs, empty):
+    def fingerprint(s):
+        w = words(s)
+        shingles = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+        n, bits = Counter(xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles), 0
+        return sum(1 << b for b in range(64) if 2 * sum(c for h, c in n.items() if h >> b & 1) > len(shingles))
+
+    rows = [(i, fingerprint(s)) for i, s in pairs(docs)]
+    fps = sorted({f for _, f in rows})
+    parent = {f: f for f in fps}
+
+    def find(f):
+        while parent[f] != f:
+            f = parent[f]
+        return f
+
+    for i, a in enumerate(fps):
+        for b in fps[:i]:
+            if (a ^ b).bit_count() <= 2:
+                parent[find(a)] = find(b)
+    least = defaultdict(lambda: None)
+    for i, f in rows:
+        if i is not None:
+            least[find(f)] = i if least[find(f)] is None else min(i, least[find(f)])
+    want = Counter((i, f, least[find(f)]) for i, f in rows)
+    assert Counter((r.doc_id, r.fp % (1 << 64), r.component_id) for r in simhash.near_duplicates(docs).collect()) == want
+    assert simhash.near_duplicates(empty).count() == 0
+    kept = simhash.representatives(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for (i, _, c) in want if i == c}
+
+
+def test_simhash_links_of_a_dense_group(spark):
+    rng = np.random.default_rng(5)
+    base = int(rng.integers(1 << 62))
+    fps = {base ^ sum(1 << int(b) for b in rng.choice(64, k, replace=False)) for k in (0, 1, 2, 3, 4) for _ in range(60)}
+    fps |= {int(x) for x in rng.integers(0, 1 << 62, 200)}
+    fps = sorted(fps)
+    edges = simhash.links(spark.createDataFrame([(simhash.signed(f),) for f in fps], "fp long"))
+    assert all(((r.a ^ r.b) & ((1 << 64) - 1)).bit_count() >= 1 for r in edges.collect())
+    root = {r.node: r.root for r in simhash.components(edges).collect()}
+    near = {f: [g for g in fps if (f ^ g).bit_count() <= 2] for f in fps}
+    seen = {}
+    for f in fps:
+        todo, group = [f], set()
+        while todo:
+            x = todo.pop()
+            if x not in group:
+                group.add(x)
+                todo += near[x]
+        seen[f] = frozenset(group)
+    for f in fps:
+        own = {g for g in fps if root.get(simhash.signed(g), ("alone", g)) == root.get(simhash.signed(f), ("alone", f))}
+        assert own == seen[f]
+
+
+def test_forest_above_the_small_size():
+    rng = np.random.default_rng(1)
+    u = np.unique(np.uint64(1 << 50) ^ (rng.integers(0, 1 << 16, 400).astype(np.uint64) << np.uint64(24)))
+    edges = simhash.forest(u.view(np.int64), simhash.near_masks())
+    small = [simhash.forest(u.view(np.int64)[[i, j]], simhash.near_masks()) for i in range(60) for j in range(i)]
+    assert len(edges) < len(u) and sum(map(bool, small)) == sum(int(u[i] ^ u[j]).bit_count() <= 2 for i in range(60) for j in range(i))
+
+
+def test_decontamination(spark, docs, empty):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    bench = spark.createDataFrame([(1, item), (2, "too short"), (3, None), (4, ""), (5, item), (6, " ".join(f"t{i}" for i in range(70)))], "item_id long, text string")
+    rows = [(1, f"before {item.upper()} after"), (2, item.replace("seven", "7")), (3, item.rsplit(" ", 2)[0] + " and more"), (4, "too short"), (5, "x " * 5000 + item + " y" * 5000), (6, None), (7, ""), (8, " ".join(f"t{i}" for i in range(60))), (1, f"before {item} after")]
+    found = spark.createDataFrame([(*r, 9) for r in rows], "doc_id long, text string, item_id long")
+
+    def brute():
+        sets = {i: decontamination.exact(s or "") for i, s in bench.collect()}
+        for i, s in rows:
+            own = decontamination.exact(s or "")
+            yield from ((i, k, len(own & q), len(q)) for k, q in sets.items() if q and len(own & q) >= 0.8 * len(q))
+
+    assert Counter(map(tuple, decontamination.search(found, bench).collect())) == Counter(brute())
+    # the same with the benchmark in many blocks
+    assert Counter(map(tuple, decontamination.search(found, bench, block_bytes=64).collect())) == Counter(brute())
+    assert Counter(r.doc_id for r in decontamination.clean(found, bench).collect()) == Counter(i for i, _ in rows if i not in {x[0] for x in brute()})
+    assert decontamination.search(empty, bench).count() == 0 and decontamination.search(found, bench.limit(0)).count() == 0
+
+
+def test_decontamination_index_finds_scattered_items():
+    rng = np.random.default_rng(3)
+    w = [f"w{i}" for i in range(3000)]
+    items = [" ".join(rng.choice(w, int(n))) for n in rng.integers(15, 60, 200)]
+    index = decontamination.Index.build(list(range(200)), items, 0.8, 1e-7)
+    texts = []
+    for s in items:
+        x = s.split()
+        cut = len(x) // 2
+        texts.append(" ".join([*rng.choice(w, 4000), *x[: cut + 2], *rng.choice(w, 500), *x[cut - 2 :], *rng.choice(w, 4000)]))
+    data, offsets = text_bytes(pa.array(texts))
+    want = {(i, i) for i in range(200) if len(decontamination.exact(items[i]) & decontamination.exact(texts[i])) >= 0.8 * len(decontamination.exact(items[i]))}
+    assert {(d, i) for d, i, *_ in decontamination.verified(index, data, offsets, 0.8)} >= want and len(want) > 190
+
+
+def own_tiktoken():
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), path
+
+
+def test_byte_bpe_is_tiktoken(docs, empty):
+    other, path = own_tiktoken()
+    got = Counter(map(tuple, byte_bpe.digests(docs, path).collect()))
+
+    def brute(i, s):
+        ids = other.encode_ordinary(s)
+        return i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(s.encode()).hexdigest()
+
+    assert got == Counter(brute(i, s) for i, s in pairs(docs))
+    encoded = byte_bpe.encode(docs, path)
+    assert Counter(map(tuple, byte_bpe.decode(encoded, path).collect())) == Counter(pairs(docs))
+    for r in encoded.limit(20).collect():
+        assert r.offsets == sorted(r.offsets) and len(r.offsets) == len(r.ids) and (not r.ids or r.offsets[0] == 0)
+    assert byte_bpe.digests(empty, path).count() == 0
+
+
+def test_pre_tokenisation_on_odd_strings():
+    other, path = own_tiktoken()
+    rng, alphabet = np.random.default_rng(4), list("ab's tTrReEvVlLdDm'' \n\t\r .,!12é😀\u00a0\u3000日ä’ß²")
+    texts = ["".join(rng.choice(alphabet, rng.integers(0, 30))) for _ in range(3000)] + ["'", "'l", "x'll", "  'll", "\n\n  's", " " * 300, "a" * 300, ""]
+    data, offsets = text_bytes(pa.array(texts))
+    own, got = byte_bpe.Encoder(path), []
+    for lo, hi in blocks(offsets, 5000):
+        ids, bounds = own.encode(Text(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]))
+        got += [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert got == [other.encode_ordinary(s) for s in texts]
+
+
+def test_character_classes_are_those_of_the_library():
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    x = tiktoken.Encoding("x", pat_str=r"\p{L}", mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
+    assert set(x.decode_bytes(x.encode_ordinary(every)).decode()) == {c for c in every if byte_bpe.classes()[ord(c)] == byte_bpe.LETTER}
+
+
+def test_token_store(spark, docs, empty, tmp_path):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = tokenizers.Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    token_store.write(docs, path, f"{tmp_path}/store")
+    got = [tuple(r) for r in token_store.digests(spark, f"{tmp_path}/store").collect()]
+    ids = [(i, [*t.encode(s, add_special_tokens=False).ids, 1]) for i, s in pairs(docs)]
+    assert Counter((i, n, c) for i, _, n, c in got) == Counter((i, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in ids)
+    at = 0
+    for i, start, n, _ in sorted(got, key=lambda r: r[1]):
+        assert start == at
+        at += n
+    order = [i for i, *_ in sorted(got, key=lambda r: r[1])]
+    assert order == sorted(order, key=lambda i: (i is not None, i or 0))
+    full = {r.start: list(r.ids) for r in token_store.read(spark, f"{tmp_path}/store").collect()}
+    assert Counter(map(tuple, full.values())) == Counter(tuple(x) for _, x in ids)
+    token_store.write(empty, path, f"{tmp_path}/none")
+    assert token_store.digests(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_packing_round_trip():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 3, 4, 1000):
+        v = (rng.integers(0, 1 << 32, n) >> rng.integers(0, 32, n)).astype(np.uint32)
+        control, data = token_store.pack(v)
+        assert token_store.unpack(control, data, n).tolist() == v.tolist() and len(control) == -(-n // 4)
+
+
+def test_base_spans():
+    rules = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+
+    def brute(s):
+        for k, rule in enumerate(rules):
+            for m in re.finditer(rule, s):
+                digits = re.sub("[^0-9]", "", m[0])
+                if k == 1 and any(int(x) > 255 for x in m[0].split(".")) or k == 2 and not (13 <= len(digits) <= 19 and pii.luhn(digits)) or k == 3 and not 9 <= len(digits) <= 15:
+                    continue
+                yield k, *m.span()
+
+    rng = np.random.default_rng(7)
+    for alphabet in ("0123456789.+@ab-% ()", "0123456789.- +", "a.@-%b"):
+        for _ in range(4000):
+            s = "".join(rng.choice(list(alphabet), rng.integers(0, 40)))
+            assert pii.base_spans(s) == list(brute(s)), s
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
+
+
+def test_pii(docs, empty):
+    found = {r.doc_id: r for r in pii.digest(pii.find(docs)).collect()}
+    assert len(pii.find(docs).collect()) == docs.count() and pii.find(empty).count() == 0
+    odd = found[1008]
+    assert (odd.n_email, odd.n_ip, odd.n_card, odd.n_phone) == (1, 1, 1, 1) and odd.spans.startswith("email:5:13,ip:")
+    assert found[1000].base_sha256 == hashlib.sha256(b"").hexdigest()
+    clean = pii.redact(docs)
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+    assert {r.text for r in clean.filter("doc_id = 1008").collect()} == {"mail [EMAIL] or [PHONE]; [CARD], [IP]"}
+
+
+def test_pii_adds_secrets(spark):
+    r = np.random.default_rng(8)
+    secret = lambda: "".join(r.choice(list("0123456789abcdef"), 32))
+    rows = [(i, f'some text token = "{secret()}" and more') for i in range(40)] + [(100 + i, f"see version averylongidentifier{i}name for it") for i in range(40)] + [(200 + i, f"write to a{i}@b.org") for i in range(20)]
+    got = {r.doc_id: r.spans for r in pii.digest(pii.find(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert all(got[i].startswith("key:19:51") for i in range(40)) and not any(got[100 + i] for i in range(40)) and all(got[200 + i] for i in range(20))
+
+
+def test_restoring_obfuscated_words():
+    words_ = "stupid idiot pathetic worthless moron trash loser clown you are the and one two some people think that nothing".split()
+    c = toxicity.CLASS[np.frombuffer((" ".join(np.random.default_rng(9).choice(words_, 20_000))).encode(), np.uint8)]
+    counts = np.bincount((c[:-2] * 29 + c[1:-1]) * 29 + c[2:], minlength=29**3).reshape(29, 29, 29)
+    model = toxicity.log_model(counts)
+    cases = {"1d10t": "idiot", "s t u p i d": "stupid", "stuuupid": "stupid", "m.o.r.o.n": "moron", "tr@sh": "trash", "p a t h e t i c": "pathetic", "plain text stays, even 3 or 42!": "plain text stays, even 3 or 42!", "": "", "a b": "a b"}
+    data, offsets = text_bytes(pa.array(list(cases)))
+    out = toxicity.restore(Text(data, offsets, lower=True), model)
+    assert [out.buf[a:b].tobytes().decode() for a, b in zip(out.offsets[:-1], out.offsets[1:], strict=True)] == list(cases.values())
+
+
+def test_restoring_very_short_texts():
+    model = toxicity.log_model(np.ones((29, 29, 29), np.int64))
+    for s in ("", "a", "1", "a1", "!!", "a b", "é", "a.b", "aaa"):
+        data, offsets = text_bytes(pa.array([s]))
+        toxicity.restore(Text(data, offsets, lower=True), model)
+        for f in (quality_rules.measure, toxicity.features, decontamination.of_words, byte_bpe.slices):
+            f(Text(data, offsets))
+
+
+def test_toxicity(spark, docs, empty, labels):
+    sf = "/root/testdata/sf0.1"
+    table, truth = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = toxicity.score(table, truth).join(truth, "doc_id").filter("held_out").collect()
+    assert np.mean([r.predicted == r.toxic for r in got]) > 0.97 and sum(r.predicted and not r.toxic for r in got) <= 0.01 * len(got)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got)
+    odd = toxicity.score(docs, labels).collect()
+    assert len(odd) == docs.count() and all(r.score is not None for r in odd)
+    assert toxicity.score(empty, labels.limit(0)).count() == 0
+    assert toxicity.harmless(docs, labels).columns == docs.columns
+
+
+def test_importance_resampling(spark, docs, empty, labels):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = resampling.resample(table, labels, share=0.5).collect()
+    chosen = sorted((r.gumbel_key for r in rows if r.kept), reverse=True)
+    assert len(chosen) == round(0.5 * len(rows)) and chosen == sorted((r.gumbel_key for r in rows), reverse=True)[: len(chosen)]
+    again = resampling.resample(table.repartition(7), labels, share=0.5).collect()
+    assert {(r.doc_id, r.kept, r.log_weight) for r in rows} == {(r.doc_id, r.kept, r.log_weight) for r in again}
+    # the weights, from plain counts of words and word pairs by the same hash
+    raw, target = resampling.count_models(table, labels, 1 << 16, 20_000)
+    assert raw.sum() == sum(max(0, 2 * len(words(s)) - 1) for _, s in pairs(table))
+    good = {r.doc_id for r in labels.filter("quality = 1").collect()}
+    assert target.sum() == sum(max(0, 2 * len(words(s)) - 1) for i, s in pairs(table) if i in good)
+    assert len(resampling.resample(docs, labels).collect()) == docs.count() and resampling.resample(empty, labels).count() == 0
+
+
+def test_url_filter(spark):
+    rows = [(1, "HTTP://WWW.Example.ORG/es/x?y"), (2, "https://a.com/fr/9"), (3, "http://free-pills.casino.net/en"), (4, "http://theriver.net/en/12"), (5, None), (6, "no url"), (7, "x://"), (8, "http://example.org/en/12"), (9, "http://org?x"), (10, "http://myexample.org/es/")]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame([(*r, 0) for r in rows], "page_id long, url string, rule int")).collect()}
+    assert (got[1].host, got[1].path, got[1].rule, got[1].verdict) == ("www.example.org", "/es/x", "example.org/es/", "block")
+    assert (got[2].rule, got[2].verdict) == ("com/fr/", "allow") and got[8].rule == "example.org/en/1" and got[10].rule == "org/"
+    assert got[3].verdict == "block" and got[4].verdict == "allow" and got[9].rule is None
+    assert [(got[i].host, got[i].path) for i in (5, 6, 7)] == [("", "")] * 3
+    plan = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
+    with pytest.raises(ValueError):
+        url_filter.fit(spark.createDataFrame([], "url string, label int"))
+
+
+def test_revisits(spark):
+    h = lambda **x: {k.replace("_", "-"): v for k, v in x.items()}
+    rows = [
+        (1, "response", 200, "http://www.a.org/p/?utm_source=x", 10, h(etag='"1"', date="10", content_type="t"), "d1"),
+        (2, "response", 200, "https://a.org/p", 90_000, h(etag='"2"', date="90"), "d2"),
+        (3, "revisit", 304, "http://A.org/p#top", 80_000, h(etag='W/"1"', date="80", content_type="bad"), None),
+        (4, "revisit", 304, "http://a.org/p", 200_000, h(etag='"1"'), None),
+        (5, "revisit", 304, "http://a.org/p", 5, h(etag='"1"'), None),
+        (6, "revisit", 304, None, 50, h(etag='"1"'), None),
+        (7, "response", 404, "http://a.org/p", 190_000, h(etag='"1"'), "d7"),
+        (8, "revisit", 304, "http://a.org/p", 95_000, None, None),
+        (9, "revisit", 304, "http://a.org/p", 90_000, h(etag='"2"'), None),
+    ]
+    records = spark.createDataFrame([(*r, 0) for r in rows], "record_id long, kind string, status int, url string, ts long, headers map<string,string>, digest string, chunk int")
+    for width in (86_400, 10, 10**9):
+        got = {r.record_id: r for r in warc.resolve(records, chunk_seconds=width).collect()}
+        assert {i: (r.outcome, r.refers_to) for i, r in got.items()} == {3: ("resolved", 1), 4: ("validators_differ", None), 5: ("no_response", None), 6: ("no_response", None), 8: ("validators_differ", None), 9: ("resolved", 2)}
+        assert got[3].headers == {"etag": 'W/"1"', "date": "80", "content-type": "t"} and got[3].digest == "d1"
+    assert warc.resolve(records.limit(0)).count() == 0

@@ -34,6 +34,10 @@ END_ID = 1
 #: Tokens of a block, and bytes of a shard's tokens (two each), at least one document.
 BLOCK_TOKENS, SHARD_BYTES = 1 << 20, 64 << 20
 
+FINAL, PLAIN = np.zeros(256, bool), np.zeros(256, bool)
+FINAL[list(b".,;:!?)")] = True
+PLAIN[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+
 #: Byte lengths of the four values of each control byte.
 LENGTHS = np.array([[1 + (c >> 2 * k & 3) for k in range(4)] for c in range(256)], np.uint8)
 
@@ -56,8 +60,24 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return (lanes[np.cumsum(size) - size] & MASK[size]).astype(np.uint32)
 
 
+def pieces(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, with a final mark after an ASCII letter or digit as a piece of its own: no token spans the two."""
+    starts, ends, bounds = text.words()
+    k = np.flatnonzero((ends - starts > 1) & FINAL[text.buf[ends - 1]] & PLAIN[text.buf[ends - 2]])
+    cut = ends.copy()
+    cut[k] -= 1
+    return np.insert(starts, k + 1, ends[k] - 1), np.insert(cut, k + 1, ends[k]), bounds + np.searchsorted(k, bounds)
+
+
 class Tokenizer:
-    """Ids by the tokenizers library, for each distinct word once: its pre-tokenizer never joins words across white space."""
+    """Ids by the tokenizers library, for each distinct piece once.
+
+    The vocabulary's pre-tokenizer never joins pieces, and its normalizer lower-cases, so texts come with A-Z in
+    lower case already.
+    """
+
+    #: Pieces that a worker remembers, in each of two generations.
+    REMEMBERED = 700_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -65,11 +85,12 @@ class Tokenizer:
 
         self.inner = tokenizers.Tokenizer.from_file(path)
         self.inner.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cache = Cache()
+        self.lower = self.inner.normalizer is not None and self.inner.normalizer.normalize_str("AZ") == "az"
+        self.cache = Cache(self.REMEMBERED)
 
     def encode(self, text: Text) -> tuple[np.ndarray, np.ndarray]:
         """The ids of a block, and the index of each document's first one (one more than documents)."""
-        starts, ends, bounds = text.words()
+        starts, ends, bounds = pieces(text)
 
         def make(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             raw = text.buf.tobytes()
@@ -96,7 +117,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "do
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             for lo, hi in blocks(offsets):
-                ids, bounds = own.encode(Text(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]))
+                ids, bounds = own.encode(Text(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], lower=own.lower))
                 ids = np.insert(ids, bounds[1:], end_id).astype(kind)
                 bounds = bounds + np.arange(len(bounds))
                 raw = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((bounds * ids.itemsize).astype(np.int32)), pa.py_buffer(ids)])

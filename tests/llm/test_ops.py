@@ -232,6 +232,17 @@ def test_token_store(spark, docs, empty, tmp_path):
     assert token_store.digests(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_pieces_give_the_ids_of_whole_texts():
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), np.random.default_rng(11)
+    t, own = tokenizers.Tokenizer.from_file(path), token_store.Tokenizer(path)
+    t.encode_special_tokens = True
+    alphabet = [*"abAZ'tsre019.,;:!?)(-  \n\té😀ÀΣςİ\u0338\u0301\u00a0…", "'ll", "<|endoftext|>", "a.", "B!", "n't"]
+    texts = ["".join(rng.choice(alphabet, rng.integers(0, 25))) for _ in range(4000)]
+    data, offsets = text_bytes(pa.array(texts))
+    ids, bounds = own.encode(Text(data, offsets, lower=own.lower))
+    assert own.lower and [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [t.encode(s, add_special_tokens=False).ids for s in texts]
+
+
 def test_packing_round_trip():
     rng = np.random.default_rng(6)
     for n in (0, 1, 3, 4, 1000):

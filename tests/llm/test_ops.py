@@ -75,6 +75,24 @@ def test_compression_bands(spark, labels):
     assert kept == [False, False] + [True] * len(prose)
 
 
+def test_every_byte_is_in_a_judged_chunk():
+    rng = np.random.default_rng(2)
+    vocabulary = ["".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(3000)]
+    prose = " ".join(vocabulary[k] for k in rng.integers(0, 3000, 80_000))
+    noise = base64.b64encode(rng.bytes(200_000)).decode()
+    assert len(prose) > 400_000
+    cases = [
+        (prose[:8191], True), (prose[:4095] + noise[:4096], False), (prose[:4096] + noise[:4096], False), (prose[:8192] + noise[:4095], False), (prose[:8192] + noise[:4096], False),
+        (prose[:8192] + noise[:2500], False), (prose[:8192] + "spam " * 800, False), (prose[:4096], True), (prose[:12_300], True), (prose[:400_000], True),
+        (prose[:150_000] + noise[:4096] + prose[150_000:300_000], True), (prose[:150_000] + noise[:16_384] + prose[150_000:300_000], False),
+        ("".join(prose[40_960 * k : 40_960 * (k + 1)] + noise[4096 * k : 4096 * (k + 1)] for k in range(5)), False),
+    ]
+    data, offsets = text_bytes(pa.array([s for s, _ in cases]))
+    got = quality_rules.compress(Text(data, offsets), quality_rules.Bands())
+    assert got["kept"].tolist() == [k for _, k in cases]
+    assert got["n_chunks"].tolist() == [-(-len(s) // 4096) for s, _ in cases]
+
+
 def test_simhash_against_brute_force(docs, empty):
     def fingerprint(s):
         w = words(s)

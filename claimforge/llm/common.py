@@ -76,15 +76,22 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"))
 
 
-def label_sample(labels: DataFrame, label: str, bound: int, where: Column | None = None, id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, label) of about ``bound`` labelled documents at most, chosen by a hash of the id.
+def label_rows(labels: DataFrame, label: str, where: Column | None = None, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, label) of all labelled documents.
 
     Repeated rows of a document count once, with the smallest label; null ids and labels are left out.
-    The same documents come from the same table, however it is partitioned.
     """
     rows = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label].cast("int").alias("label")).dropna()
     rows = rows.filter(where) if where is not None else rows
-    rows = rows.groupBy("doc_id").agg(F.min("label").alias("label"))
+    return rows.groupBy("doc_id").agg(F.min("label").alias("label"))
+
+
+def label_sample(labels: DataFrame, label: str, bound: int, where: Column | None = None, id_col: str = "doc_id") -> DataFrame:
+    """About ``bound`` of the label_rows() at most, chosen by a hash of the id.
+
+    The same documents come from the same table, however it is partitioned.
+    """
+    rows = label_rows(labels, label, where, id_col)
     n = rows.count()
     if n <= bound:
         return rows

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, cut, id_text, kth_largest, label_sample
+from .common import arrow, cut, id_text, kth_largest, label_rows, label_sample
 from .vectext import K1, U, Text, blocks, mix, sums, text_bytes, within
 
 BUCKETS = 1 << 16
@@ -102,11 +102,11 @@ def weigh(docs: DataFrame, ratio: np.ndarray, seed: int) -> DataFrame:
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, buckets: int = BUCKETS, label_bound: int = 20_000, seed: int = 42) -> DataFrame:
     """One row per document: doc_id, n_ngrams, log_weight, gumbel_key, kept.
 
-    ``share`` of the documents is drawn; by default the share of label 1 among the sampled labelled rows.
-    ``label_bound`` bounds the labelled documents of the target and of that share.
+    ``share`` of the documents is drawn; by default the share of label 1 among all labelled documents.
+    ``label_bound`` bounds the labelled documents that fit the target model.
     """
     if share is None:
-        share = label_sample(labels, "quality", label_bound).agg(F.avg("label")).first()[0]
+        share = label_rows(labels, "quality").agg(F.avg("label")).first()[0]
         share = 1.0 if share is None else share
     raw, target = count_models(docs, labels, buckets, label_bound)
     scored = cut(weigh(docs, log_ratio(raw, target), seed))

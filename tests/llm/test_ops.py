@@ -13,6 +13,7 @@ import pytest
 import tiktoken
 import tokenizers
 import xxhash
+from pyspark.sql import functions as F
 
 from claimforge.llm import byte_bpe, decontamination, pii, quality_rules, resampling, simhash, token_store, toxicity, url_filter, warc
 from claimforge.llm.vectext import Text, blocks, text_bytes
@@ -354,6 +355,17 @@ def test_importance_resampling(spark, docs, empty, labels):
     assert len(resampling.resample(docs, labels).collect()) == docs.count() and resampling.resample(empty, labels).count() == 0
 
 
+def test_importance_resampling_share_is_of_all_labels(spark):
+    table = spark.range(400).selectExpr("id AS doc_id", "concat('some words of text ', id) AS text")
+    marks = [(i, int(i % 8 < 3)) for i in range(400)]
+    # repeated rows count once, with the smallest label; null ids and labels don't count
+    given = spark.createDataFrame([*marks, *marks[:50], (0, 1), (None, 1), (7, None)], "doc_id long, quality int")
+    bounded = {r.label for r in resampling.label_sample(given, "quality", 40).agg(F.avg("label").alias("label")).collect()}
+    kept = [r.kept for r in resampling.resample(table, given, label_bound=40).collect()]
+    least = [min(y for j, y in [*marks, (0, 1)] if j == i) for i in range(400)]
+    assert round(400 * bounded.pop()) != sum(least) == sum(kept) and len(kept) == 400
+
+
 def test_url_filter(spark):
     rows = [(1, "HTTP://WWW.Example.ORG/es/x?y"), (2, "https://a.com/fr/9"), (3, "http://free-pills.casino.net/en"), (4, "http://theriver.net/en/12"), (5, None), (6, "no url"), (7, "x://"), (8, "http://example.org/en/12"), (9, "http://org?x"), (10, "http://myexample.org/es/")]
     got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame([(*r, 0) for r in rows], "page_id long, url string, rule int")).collect()}

@@ -1,11 +1,12 @@
 """Toxicity by noisy-channel deobfuscation.
 
 Writers hide words by leetspeak (``1d10t``), spacing (``s t u p i d``, ``s.t.u.p.i.d``) and repetition
-(``stuuupid``). Vectorised masks find the words where any of these can have been at work. Each becomes a
-lattice: a symbol may stand for letters, a separator between single characters may be noise, a run may stand
-for one letter or two, and everything may also mean itself. Viterbi decoding over the last two characters
-picks the path that is likeliest under the channel and a character trigram model of the corpus. A word with
-no such sign has a lattice of one path, itself, and is left alone. The restored text is then scored.
+(``stuuupid``). Vectorised masks find the words where any of these can have been at work: a symbol beside a
+letter or another symbol, two or more equal letters, characters parted by separators or any white space. Each
+becomes a lattice: a symbol may stand for letters, a separator between single characters may be noise, a run may
+stand for one letter or two, and everything may also mean itself. Viterbi decoding over the last two characters
+picks the path that is likeliest under the channel and a character trigram model of the corpus. Other words are
+left alone: all they could hold is a symbol that stands alone. The restored text is then scored.
 
 Model: character trigram counts over all documents (29 classes); document frequencies of tokens and
 token beginnings, by 64-bit hash, in toxic and other documents of a bounded hash sample of the labelled rows; a logistic
@@ -21,7 +22,7 @@ score is the smoothed share of label 1.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ PREFIXES = (4, 5, 6)
 #: What a symbol may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "li", "+": "t"}
 #: Separators that may stand between the characters of one word.
-BETWEEN = " .-_*"
+BETWEEN = " \t\n\v\f\r.-_*"
 # Classes of the character model: 0 is white space, 1-26 are a-z, then bytes of other letters, and the rest.
 FOREIGN, SIGN, CLASSES = 27, 28, 29
 CLASS = np.full(256, SIGN, np.int64)
@@ -43,12 +44,15 @@ CLASS[WHITE] = 0
 CLASS[97:123] = np.arange(1, 27)
 CLASS[65:91] = np.arange(1, 27)
 CLASS[128:] = FOREIGN
+CLASS_LIST = CLASS.tolist()
 LETTER = (CLASS > 0) & (CLASS < SIGN)
 IS_LEET, IS_BETWEEN = np.zeros(256, bool), np.zeros(256, bool)
 IS_LEET[[ord(c) for c in LEET]] = True
 IS_BETWEEN[[ord(c) for c in BETWEEN]] = True
 #: Log-probabilities of the channel: a symbol for a letter, a dropped separator, one that is kept between single characters, a run for one letter or two.
 SUBSTITUTE, DROP, KEEP, SQUEEZE = -1.0, -0.1, -3.0, -0.7
+#: Restored spans that a worker remembers.
+REMEMBERED = 100_000
 #: Token weights below LEAST are no evidence; those above STRONG are counted.
 LEAST, STRONG = 1.0, 2.0
 
@@ -84,7 +88,7 @@ def log_model(counts: np.ndarray) -> list:
 
 
 def lattice(span: bytes) -> list[list[tuple[bytes, float]]]:
-    """Alternatives (output, log-probability) of each piece of a span; a piece is one character or a run of one letter."""
+    """Alternatives (output, log-probability) of each piece of a span; a piece is one character, a run of one letter or white space."""
     out, i, n = [], 0, len(span)
     while i < n:
         c = span[i]
@@ -92,15 +96,20 @@ def lattice(span: bytes) -> list[list[tuple[bytes, float]]]:
         if LETTER[c] and c < 128:
             while j < n and span[j] == c:
                 j += 1
+        elif WHITE[c]:
+            while j < n and WHITE[span[j]]:
+                j += 1
         own = span[i:j]
-        spaced = j - i == 1 and IS_BETWEEN[c]
+        spaced = IS_BETWEEN[c]
         choices = [(own, KEEP if spaced else 0.0)]
-        if j - i >= 3:
-            choices += [(own[:1], SQUEEZE), (own[:2], SQUEEZE)]
-        elif j - i == 1 and IS_LEET[c]:
-            choices += [(x.encode(), SUBSTITUTE) for x in LEET[chr(c)]]
         if spaced:
             choices.append((b"", DROP))
+        elif j - i >= 3:
+            choices += [(own[:1], SQUEEZE), (own[:2], SQUEEZE)]
+        elif j - i == 2:
+            choices.append((own[:1], SQUEEZE))
+        elif IS_LEET[c]:
+            choices += [(x.encode(), SUBSTITUTE) for x in LEET[chr(c)]]
         out.append(choices)
         i = j
     return out
@@ -108,20 +117,26 @@ def lattice(span: bytes) -> list[list[tuple[bytes, float]]]:
 
 def viterbi(pieces: list[list[tuple[bytes, float]]], model: list) -> bytes:
     """The likeliest output between two word ends."""
-    paths: dict[tuple[int, int], tuple[float, bytes]] = {(0, 0): (0.0, b"")}
+    # outputs as chains, so that a long span costs no copies of what is decoded already
+    paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for choices in pieces:
-        new: dict[tuple[int, int], tuple[float, bytes]] = {}
-        for (a, b), (score, text) in paths.items():
+        new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (score, chain) in paths.items():
             for out, cost in choices:
                 p, q, s = a, b, score + cost
                 for c in out:
-                    k = int(CLASS[c])
+                    k = CLASS_LIST[c]
                     s += model[p][q][k]
                     p, q = q, k
                 if (p, q) not in new or s > new[p, q][0]:
-                    new[p, q] = (s, text + out)
+                    new[p, q] = (s, (chain, out))
         paths = new
-    return max((s + model[p][q][0], text) for (p, q), (s, text) in paths.items())[1]
+    _, chain = max(((s + model[p][q][0], chain) for (p, q), (s, chain) in paths.items()), key=lambda x: x[0])
+    parts = []
+    while chain is not None:
+        chain, out = chain
+        parts.append(out)
+    return b"".join(reversed(parts))
 
 
 def suspects(text: Text) -> tuple[np.ndarray, np.ndarray]:
@@ -137,18 +152,19 @@ def suspects(text: Text) -> tuple[np.ndarray, np.ndarray]:
     same = np.ones(n + 1, bool)
     same[text.offsets[1:] - 1] = False
     both = same[: n - 2] & same[1 : n - 1]
-    # a symbol with a letter after it, or a digit with a letter before it
-    sign[:n] = leet[:n] & letter[1 : n + 1] & same[:n]
-    sign[1:n] |= leet[1:n] & letter[: n - 1] & (buf[1:n] >= 48) & (buf[1:n] <= 57) & same[: n - 1]
-    sign[: n - 2] |= letter[: n - 2] & (buf[: n - 2] == buf[1 : n - 1]) & (buf[1 : n - 1] == buf[2:n]) & (buf[: n - 2] < 128) & both
+    # a symbol beside a letter or another symbol
+    beside = letter | leet
+    sign[:n] = leet[:n] & beside[1 : n + 1] & same[:n]
+    sign[1:n] |= leet[1:n] & beside[: n - 1] & same[: n - 1]
+    sign[: n - 1] |= letter[: n - 1] & (buf[: n - 1] == buf[1:n]) & (buf[: n - 1] < 128) & same[: n - 1]
     dotted = letter[: n - 2] & between[1 : n - 1] & letter[2:n] & both
     sign[: n - 4] |= dotted[:-2] & dotted[2:] & ~WHITE[buf[1 : n - 3]] & ~WHITE[buf[3 : n - 1]]
     seen = np.concatenate([[0], np.cumsum(sign)])
     odd = seen[ends] > seen[starts]
-    # three or more words of one character in a row
+    # three or more words of one character in a row, whatever white space parts them
     single = (ends - starts == 1) & (letter[starts] | leet[starts])
     joined = np.zeros(len(starts), bool)
-    joined[1:] = single[1:] & single[:-1] & (starts[1:] == ends[:-1] + 1) & (buf[ends[:-1]] == 32)
+    joined[1:] = single[1:] & single[:-1]
     joined[bounds[:-1][bounds[:-1] < len(starts)]] = False
     first = single & ~joined
     at = np.flatnonzero(first)
@@ -163,12 +179,13 @@ def suspects(text: Text) -> tuple[np.ndarray, np.ndarray]:
     return s[order], e[order]
 
 
-def restore(text: Text, model: list) -> Text:
-    """The block with its suspect spans decoded."""
+def restore(text: Text, model: list, memo: dict[bytes, bytes] | None = None) -> Text:
+    """The block with its suspect spans decoded. ``memo`` keeps short ones for the next block of the same model."""
+    memo = {} if memo is None else memo
     starts, ends = suspects(text)
     if not len(starts):
         return text
-    raw, parts, at, memo = text.buf[: text.n].tobytes(), [], 0, {}
+    raw, parts, at = text.buf[: text.n].tobytes(), [], 0
     shift = np.zeros(len(starts), np.int64)
     for k, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
         span = raw[a:b]
@@ -176,6 +193,8 @@ def restore(text: Text, model: list) -> Text:
         if new is None:
             new = viterbi(lattice(span), model)
             if len(span) <= 32:
+                if len(memo) >= REMEMBERED:
+                    memo.clear()
                 memo[span] = new
         parts += [raw[at:a], new]
         at, shift[k] = b, len(new) - len(span)
@@ -254,9 +273,10 @@ class Model:
     trigrams: list
     weights: Weights
     coefficients: np.ndarray
+    memo: dict[bytes, bytes] = field(default_factory=dict)
 
     def scores(self, text: Text) -> np.ndarray:
-        hashes, bounds = features(restore(text, self.trigrams))
+        hashes, bounds = features(restore(text, self.trigrams, self.memo))
         return sigmoid(standard(evidence(self.weights.most(hashes), bounds)) @ self.coefficients)
 
 
@@ -313,11 +333,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_bound: int = 20_000) -> Model:
         return Model(trigrams, Weights(np.zeros(0, U), np.zeros(0)), np.array([0, 0, 0, 0, np.log(share / (1 - share))]))
 
     def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+        memo: dict[bytes, bytes] = {}
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
             y = batch.column(1).to_numpy()
             for lo, hi in blocks(offsets):
-                text = restore(Text(np.frombuffer(data[offsets[lo] : offsets[hi]].tobytes().translate(LOWER_TABLE), np.uint8), offsets[lo : hi + 1] - offsets[lo]), trigrams)
+                text = restore(Text(np.frombuffer(data[offsets[lo] : offsets[hi]].tobytes().translate(LOWER_TABLE), np.uint8), offsets[lo : hi + 1] - offsets[lo]), trigrams, memo)
                 yield *features(text), y[lo:hi]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

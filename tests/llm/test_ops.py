@@ -319,6 +319,21 @@ def test_restoring_obfuscated_words():
     assert [out.buf[a:b].tobytes().decode() for a, b in zip(out.offsets[:-1], out.offsets[1:], strict=True)] == list(cases.values())
 
 
+def test_restoring_symbols_doubled_letters_and_wide_spacing():
+    words_ = "stupid idiot crap shit pissed ass worthless moron loser good really full you are the and one two some people think that nothing!".split()
+    c = toxicity.CLASS[np.frombuffer((" ".join(np.random.default_rng(9).choice(words_, 20_000))).encode(), np.uint8)]
+    model = toxicity.log_model(np.bincount((c[:-2] * 29 + c[1:-1]) * 29 + c[2:], minlength=29**3).reshape(29, 29, 29))
+    cases = {
+        "a$$": "ass", "p!$$ed": "pissed", "sh!+": "shit", "cr@p": "crap", "a $tup!d a$$": "a stupid ass", "stuupid": "stupid", "idiiot": "idiot", "morronn": "moron",
+        "s  t  u  p  i  d": "stupid", "s\tt\tu\tp\ti\td": "stupid", "m\no\nr\no\nn": "moron", "l \r\n o \n\n s\f\ve r": "loser", "worthless good really full nothing!": "worthless good really full nothing!",
+    }
+    data, offsets = text_bytes(pa.array([*cases, "m\no\nr", "o\nn"]))
+    out = toxicity.restore(Text(data, offsets, lower=True), model)
+    got = [out.buf[a:b].tobytes().decode() for a, b in zip(out.offsets[:-1], out.offsets[1:], strict=True)]
+    # spans end with their document
+    assert got[: len(cases)] == list(cases.values()) and got[-1] == "o\nn"
+
+
 def test_restoring_very_short_texts():
     model = toxicity.log_model(np.ones((29, 29, 29), np.int64))
     for s in ("", "a", "1", "a1", "!!", "a b", "é", "a.b", "aaa"):

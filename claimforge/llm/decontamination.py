@@ -55,10 +55,10 @@ class Index:
     filters: list[np.ndarray]
     items: list[list[list[int]]]
     shingles: list[set[bytes]]
-    ids: list[int]
+    ids: list[int | None]
 
     @staticmethod
-    def build(ids: list[int], texts: list[str], threshold: float, miss: float) -> Index:
+    def build(ids: list[int | None], texts: list[str], threshold: float, miss: float) -> Index:
         column = pa.array(texts, pa.large_string())
         data, offsets = text_bytes(column)
         h, bounds = of_words(Text(data, offsets, lower=True))
@@ -114,7 +114,7 @@ def of_words(text: Text) -> tuple[np.ndarray, np.ndarray]:
 
 def indices(spark: SparkSession, benchmark: DataFrame, threshold: float, miss: float, block_bytes: int, item_col: str, text_col: str) -> Iterator[Index]:
     """Indices over the benchmark, each of about ``block_bytes`` of text at most."""
-    items = id_text(benchmark, item_col, text_col).dropna()
+    items = id_text(benchmark, item_col, text_col).dropna(subset=["text"])
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     for k in range(n):
@@ -136,7 +136,10 @@ def verified(index: Index, data: np.ndarray, offsets: np.ndarray, threshold: flo
 
 
 def search(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, miss: float = MISS, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Every pair (doc_id, item_id) with containment of the item in the document of at least ``threshold``."""
+    """Every pair (doc_id, item_id) with containment of the item in the document of at least ``threshold``.
+
+    An item whose id is null is searched like any other; its pairs have a null item_id.
+    """
     spark, schema = docs.sparkSession, "doc_id long, item_id long, n_shared long, n_item long"
     out = spark.createDataFrame([], schema)
     rows = id_text(docs, id_col, text_col)
@@ -157,7 +160,7 @@ def search(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, miss: float = MISS, block_bytes: int = BLOCK_BYTES, text_col: str = "text") -> DataFrame:
-    """The documents, all their columns, that contain no item. Rows with null ids are judged like any other."""
+    """The documents, all their columns, that contain no item. Rows and items with null ids are judged like any other."""
     out = docs
     for index in indices(docs.sparkSession, benchmark, threshold, miss, block_bytes, "item_id", "text"):
         shipped, at = docs.sparkSession.sparkContext.broadcast(index), docs.columns.index(text_col)

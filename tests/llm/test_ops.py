@@ -176,6 +176,17 @@ def test_decontamination(spark, docs, empty):
     assert decontamination.search(empty, bench).count() == 0 and decontamination.search(found, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_items_without_an_id(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    other = " ".join(f"t{i}" for i in range(30))
+    bench = spark.createDataFrame([(None, item), ("7", other), (None, None), (None, "")], "item_id string, text string")
+    found = spark.createDataFrame([(1, f"before {item} after"), (2, f"x {other} y"), (3, "nothing of either")], "doc_id long, text string")
+    pairs_ = Counter({(1, None, 10, 10): 1, (2, 7, 26, 26): 1})
+    assert Counter(map(tuple, decontamination.search(found, bench).collect())) == pairs_
+    assert Counter(map(tuple, decontamination.search(found, bench, block_bytes=64).collect())) == pairs_
+    assert [r.doc_id for r in decontamination.clean(found, bench).collect()] == [3]
+
+
 def test_decontamination_index_finds_scattered_items():
     rng = np.random.default_rng(3)
     w = [f"w{i}" for i in range(3000)]

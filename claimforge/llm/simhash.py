@@ -58,17 +58,19 @@ def fingerprint(text: bytes) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the fingerprint as a (signed) long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
+    """doc_id and the fingerprint as a (signed) long; ``keyed``: also text_key, a hash of the text."""
+    rows = id_text(docs, id_col, text_col)
+    rows = rows.withColumn("text_key", F.xxhash64("text")) if keyed else rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             view = memoryview(data)
             out = np.array([fingerprint(bytes(view[a:b])) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64)), *batch.columns[2:]], ["doc_id", "fp", "text_key"][: batch.num_columns])
 
-    return arrow(id_text(docs, id_col, text_col), run, "doc_id long, fp long")
+    return arrow(rows, run, "doc_id long, fp long" + ", text_key long" * keyed)
 
 
 def signed(x: int) -> int:
@@ -166,20 +168,33 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, fp (long), component_id (smallest doc_id reachable over links, itself included)."""
-    own = cut(fingerprints(docs, id_col, text_col))
+def grouped(own: DataFrame) -> DataFrame:
+    """The rows of fingerprints() with component_id and root, the fingerprint that names the component (also one without ids)."""
+    own = cut(own)
     least = own.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(least.select("fp")))
     linked = roots.join(least, roots.node == least.fp).select("fp", "root", "least")
-    linked = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(F.col("fp").alias("linked_fp"), "component_id")
+    linked = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(F.col("fp").alias("linked_fp"), "root", "component_id")
     # cut, so that both sides of the last join are plain exchanges, and Spark can split a common fingerprint's rows
-    ids = cut(least.join(linked, least.fp == linked.linked_fp, "left").select("fp", F.coalesce("component_id", "least").alias("component_id")))
-    return own.join(ids, "fp").select("doc_id", "fp", "component_id")
+    ids = cut(least.join(linked, least.fp == linked.linked_fp, "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("root", "fp").alias("root")))
+    return own.join(ids, "fp")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, fp (long), component_id (smallest doc_id reachable over links, itself included)."""
+    return grouped(fingerprints(docs, id_col, text_col)).select("doc_id", "fp", "component_id")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The documents, all their columns, that are the smallest id of their group; rows of a null id stay."""
-    kept = near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    there = docs.join(kept, docs["doc_id"].cast("long") == kept.kept_id, "left_semi")
-    return there.unionByName(docs.filter(docs["doc_id"].isNull()))
+    """One document of each group, all its columns: the smallest id, a null one last, then the smallest hash of the text.
+
+    Rows that repeat an id and a text count as one; which one's other columns stay is open.
+    """
+    none, number = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0))
+    rows = grouped(fingerprints(docs, keyed=True)).select("root", F.struct(none.alias("kept_none"), number.alias("kept_id"), F.col("text_key").alias("kept_key")).alias("row"))
+    kept = rows.groupBy("root").agg(F.min("row").alias("row")).select("row.*")
+    long = docs["doc_id"].cast("long")
+    # plain keys, so that the join's exchange also serves what drops repeats
+    marked = docs.select("*", long.isNull().alias("__none"), F.coalesce(long, F.lit(0)).alias("__id"), F.xxhash64(docs["text"].cast("string")).alias("__key"))
+    there = marked.join(kept, (marked["__none"] == kept.kept_none) & (marked["__id"] == kept.kept_id) & (marked["__key"] == kept.kept_key), "left_semi")
+    return there.dropDuplicates(["__none", "__id", "__key"]).drop("__none", "__id", "__key")

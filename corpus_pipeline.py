@@ -1,7 +1,7 @@
 """The corpus pipeline: toxicity, near-duplicates, benchmark decontamination, personal data, token ids.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the last return the
-columns of documents. Null texts score, hash and encode as empty ones; rows of a null id stay in every stage;
+columns of documents. Null texts score, hash and encode as empty ones; rows of a null id are judged like any other;
 extra columns pass through all stages but the last.
 """
 
@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near-duplicates stays."""
+    """One row of each group of near-duplicates stays, that of the smallest id."""
     return simhash.representatives(docs)
 
 

@@ -125,6 +125,16 @@ def test_simhash_against_brute_force(docs, empty):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for (i, _, c) in want if i == c}
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b, c, d = ("some words that stand here", "quite another text of its own", "a third text without any id", "a fourth one with two copies")
+    rows = [(1, a), (1, a), (2, a), (None, a), (None, c), (None, c), (3, b), (1, b), (5, d), (4, d), (4, d), (None, None), (9, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, fp string")
+    want = Counter([(1, a, "x"), (None, c, "x"), (1, b, "x"), (4, d, "x"), (9, "", "x")])
+    for n in (1, 5):
+        kept = simhash.representatives(docs.repartition(n))
+        assert kept.columns == docs.columns and Counter(map(tuple, kept.collect())) == want
+
+
 def test_simhash_links_of_a_dense_group(spark):
     rng = np.random.default_rng(5)
     base = int(rng.integers(1 << 62))

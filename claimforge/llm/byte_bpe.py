@@ -5,7 +5,7 @@ a token begins. Its transition functions form a small monoid, so the state befor
 from an associative scan over monoid elements: blocks of characters are folded side by side, the block
 results are scanned, and every block is replayed from its known start.
 
-The slices between boundaries are hashed; a slice seen before takes its ids from a cache, new ones are merged
+The slices between boundaries are hashed; a slice seen before, byte for byte, takes its ids from a cache, new ones are merged
 pair by pair, lowest rank first and leftmost among equals, all new slices of a block together. Ids keep the
 byte offset at which each token begins, and decoding is a table gather that needs no text.
 
@@ -27,7 +27,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 
 from .common import arrow, id_text
-from .vectext import U, Text, blocks, ragged, text_bytes
+from .vectext import U, Text, blocks, ragged, same, text_bytes
 
 # Classes of characters.
 LETTER, NUMBER, OTHER, SHORT, LONG, SPACES, LEAD, LONE, RESET = range(9)
@@ -259,12 +259,19 @@ class Ranks:
 
 
 class Shelf:
-    """Ids of slices by hash, in one flat array."""
+    """Slices by hash: the bytes and the ids of each, in flat arrays."""
 
     def __init__(self):
         self.at: dict[int, int] = {}
         self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
         self.ids, self.used = np.zeros(1 << 18, np.int32), 0
+        self.begin, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.filled = 0
+        self.hold(np.zeros(1 << 20, np.uint8))
+
+    def hold(self, raw: np.ndarray) -> None:
+        self.raw = raw
+        self.lanes = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
 
     def find(self, keys: list[int]) -> np.ndarray:
         """The place of each key, or -1."""
@@ -275,30 +282,77 @@ class Shelf:
         sizes = self.size[places].astype(np.int64)
         return sizes, self.ids[ragged(self.start[places], sizes)]
 
-    def add(self, keys: list[int], sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    def bytes(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lengths = self.length[places].astype(np.int64)
+        return lengths, self.raw[ragged(self.begin[places], lengths)]
+
+    def holds(self, places: np.ndarray, text: Text, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether each place holds the very bytes of its slice of the text."""
+        lengths = ends - starts
+        out = self.length[places] == lengths
+        at = np.flatnonzero(out)
+        out[at] = same(text.lanes, starts[at], self.lanes, self.begin[places[at]], lengths[at])
+        return out
+
+    def add(self, keys: list[int], lengths: np.ndarray, raw: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """The places of new keys."""
         n, m = len(self.at), len(keys)
         while n + m > len(self.start):
-            self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
+            self.start, self.size, self.begin, self.length = (np.resize(x, 2 * len(x)) for x in (self.start, self.size, self.begin, self.length))
         while self.used + len(ids) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
+        while self.filled + len(raw) + 8 > len(self.raw):
+            self.hold(np.resize(self.raw, 2 * len(self.raw)))
         self.start[n : n + m] = self.used + np.cumsum(sizes) - sizes
         self.size[n : n + m] = sizes
         self.ids[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
+        self.begin[n : n + m] = self.filled + np.cumsum(lengths) - lengths
+        self.length[n : n + m] = lengths
+        self.raw[self.filled : self.filled + len(raw)] = raw
+        self.filled += len(raw)
         self.at.update(zip(keys, range(n, n + m), strict=True))
         return np.arange(n, n + m)
 
 
 class Cache:
-    """Ids of slices in two generations of ``limit`` slices each: what is used again moves to the new one, so common slices stay."""
+    """Ids of slices in two generations of ``limit`` slices each: what is used again moves to the new one, so common slices stay.
+
+    The hash of a slice only says where to look: what is held there counts if its bytes are those of the slice.
+    Other slices, and those of more than LONGEST bytes, get their own ids.
+    """
+
+    LONGEST = 64
 
     def __init__(self, limit: int = 250_000):
         self.limit, self.new, self.old = limit, Shelf(), Shelf()
 
-    def look(self, hashes: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
-        """Sizes and ids of all slices, in order. make(first positions of the slices not held) gives their sizes and ids."""
-        keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    def look(self, text: Text, starts: np.ndarray, ends: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of all slices, in order. make(positions of slices) gives the sizes and ids of those that are not held."""
+        short = np.flatnonzero(ends - starts <= self.LONGEST)
+        place, held = np.zeros(len(starts), np.int64), np.zeros(len(starts), bool)
+        if len(short):
+            place[short] = self.places(text, starts[short], ends[short], lambda at: make(short[at]))
+            held[short] = self.new.holds(place[short], text, starts[short], ends[short])
+        if held.all():
+            return self.new.take(place)
+        odd, sizes = np.flatnonzero(~held), np.zeros(len(starts), np.int64)
+        raw, first = memoryview(text.buf), {}
+        of = np.array([first.setdefault(bytes(raw[a:b]), k) for k, (a, b) in enumerate(zip(starts[odd].tolist(), ends[odd].tolist(), strict=True))])
+        own = np.unique(of)
+        own_sizes, own_ids = make(odd[own])
+        at = np.cumsum(own_sizes) - own_sizes
+        which = np.searchsorted(own, of)
+        known, known_ids = self.new.take(place[held])
+        sizes[held], sizes[odd] = known, own_sizes[which]
+        out, where = np.zeros(int(sizes.sum()), np.int32), np.cumsum(sizes) - sizes
+        out[ragged(where[held], known)] = known_ids
+        out[ragged(where[odd], sizes[odd])] = own_ids[ragged(at[which], sizes[odd])]
+        return sizes, out
+
+    def places(self, text: Text, starts: np.ndarray, ends: np.ndarray, make) -> np.ndarray:
+        """The place of the hash of each slice, made for hashes not seen before."""
+        keys, first, inverse = np.unique(text.hashes(starts, ends), return_index=True, return_inverse=True)
         if len(self.new.at) + len(keys) > self.limit:
             self.old, self.new = self.new, Shelf()
         listed = keys.tolist()
@@ -306,12 +360,14 @@ class Cache:
         away = np.flatnonzero(place < 0)
         if len(away) and self.old.at:
             there = self.old.find(keys[away].tolist())
-            again = away[there >= 0]
-            place[again] = self.new.add(keys[again].tolist(), *self.old.take(there[there >= 0]))
+            again, old = away[there >= 0], there[there >= 0]
+            place[again] = self.new.add(keys[again].tolist(), *self.old.bytes(old), *self.old.take(old))
             away = away[there < 0]
         if len(away):
-            place[away] = self.new.add(keys[away].tolist(), *make(first[away]))
-        return self.new.take(place[inverse.reshape(-1)])
+            at = first[away]
+            lengths = ends[at] - starts[at]
+            place[away] = self.new.add(keys[away].tolist(), lengths, text.buf[ragged(starts[at], lengths)], *make(at))
+        return place[inverse.reshape(-1)]
 
 
 class Encoder:
@@ -351,7 +407,7 @@ class Encoder:
         """The ids of a block, and the index of each document's first one (one more than documents)."""
         starts, bounds = slices(text)
         ends = np.append(starts[1:], text.n)
-        sizes, ids = self.cache.look(text.hashes(starts, ends), lambda at: self.merge(text, starts[at], ends[at]))
+        sizes, ids = self.cache.look(text, starts, ends, lambda at: self.merge(text, starts[at], ends[at]))
         return ids, np.concatenate([[0], np.cumsum(sizes)])[bounds]
 
     def decode(self, ids: np.ndarray) -> np.ndarray:

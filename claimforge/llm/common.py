@@ -16,9 +16,37 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset and Spark is local.
+
+    On a cluster a folder of the driver's machine would lose rows, so an unset one is an error there.
+    """
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    return (at or tempfile.mkdtemp(prefix="claimforge-")).rstrip("/")
+    if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        at = tempfile.mkdtemp(prefix="claimforge-")
+        spark.sparkContext.setCheckpointDir(at)
+    return at.rstrip("/")
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def scratch(spark: SparkSession, what: str) -> str:
+    """A path of its own in the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    fs, at = _file_system(spark, path)
+    fs.mkdirs(at)
+    fs.deleteOnExit(at)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes what scratch() gave."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -29,10 +57,9 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """The same rows, written as a table in the shared folder and read again."""
-    path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+def written(df: DataFrame, path: str) -> DataFrame:
+    """The same rows, written as a table in a folder of scratch() and read again."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -53,13 +80,17 @@ def ship(spark: SparkSession) -> None:
 
 
 #: Bytes of a batch that goes to Python. Workers hold a few batches and their arrays at a time.
-BATCH_BYTES = "16m"
+BATCH_BYTES, BATCH_SETTING = "16m", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def arrow(df: DataFrame, function, schema) -> DataFrame:
-    """mapInArrow with batches of about BATCH_BYTES (one row at least); workers give freed memory back after each task."""
+    """mapInArrow with batches of about BATCH_BYTES (one row at least); workers give freed memory back after each task.
+
+    Spark takes the size of a batch from the session alone: it is set there unless the application has set its own.
+    """
     ship(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    if df.sparkSession.conf.get(BATCH_SETTING, "1b") == "1b":
+        df.sparkSession.conf.set(BATCH_SETTING, BATCH_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from function(batches)

@@ -106,6 +106,21 @@ class Text:
         return mix(h)
 
 
+def same(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the slices of ``size`` bytes at ``at`` of lanes ``a`` and at ``bt`` of lanes ``b`` hold equal bytes."""
+    if not len(at):
+        return np.zeros(0, bool)
+    out = ((a[at] ^ b[bt]) & MASK[np.minimum(size, 8)]) == 0
+    more, k = np.flatnonzero(out & (size > 8)), 8
+    while len(more):
+        equal = ((a[at[more] + k] ^ b[bt[more] + k]) & MASK[np.minimum(size[more] - k, 8)]) == 0
+        out[more] = equal
+        k += 8
+        more = more[equal]
+        more = more[size[more] > k]
+    return out
+
+
 def within(bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Indices at which ``k`` items in a row lie in one group of ``bounds``, and the new bounds over them."""
     n = np.maximum(np.diff(bounds) - (k - 1), 0)
@@ -148,17 +163,6 @@ def short_shingle(h: np.ndarray) -> np.uint64:
     return s[0]
 
 
-def repeats(keys: np.ndarray) -> np.ndarray:
-    """True where a key occurs more than once."""
-    s = np.sort(keys)
-    twice = s[1:][s[1:] == s[:-1]]
-    if not len(twice):
-        return np.zeros(len(keys), bool)
-    twice = twice[np.concatenate([[True], twice[1:] != twice[:-1]])]
-    at = np.minimum(np.searchsorted(twice, keys), len(twice) - 1)
-    return twice[at] == keys
-
-
 def group_of(bounds: np.ndarray) -> np.ndarray:
     """The group index of each item."""
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))

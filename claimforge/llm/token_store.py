@@ -15,7 +15,7 @@ ordered by their tokens. Extra columns are ignored. An empty table gives an empt
 from __future__ import annotations
 
 import os
-import uuid
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,15 +24,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .byte_bpe import Cache
-from .common import arrow, id_text, shared_dir, written
-from .vectext import MASK, Text, blocks, text_bytes
+from .common import arrow, discard, id_text, scratch, written
+from .vectext import MASK, WHITE, Text, blocks, text_bytes
 
 END_ID = 1
 #: Tokens of a block, and bytes of a shard's tokens (two each), at least one document.
 BLOCK_TOKENS, SHARD_BYTES = 1 << 20, 64 << 20
+#: Rows of the table of shards (12 bytes each) that are sent to all executors; more are joined.
+SHARDS_SENT = 1_000_000
 
 FINAL, PLAIN = np.zeros(256, bool), np.zeros(256, bool)
 FINAL[list(b".,;:!?)")] = True
@@ -60,10 +63,32 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return (lanes[np.cumsum(size) - size] & MASK[size]).astype(np.uint32)
 
 
-def pieces(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words, with a final mark after an ASCII letter or digit as a piece of its own: no token spans the two."""
-    starts, ends, bounds = text.words()
-    k = np.flatnonzero((ends - starts > 1) & FINAL[text.buf[ends - 1]] & PLAIN[text.buf[ends - 2]])
+def cut_at(text: Text, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """words(), cut where one of the given slices begins or ends; the slices lie apart, within documents."""
+    on = ~WHITE[text.buf[: text.n]]
+    first, last = on.copy(), on.copy()
+    first[1:] &= ~on[:-1]
+    last[:-1] &= ~on[1:]
+    edges = np.concatenate([text.offsets[:-1], at, ends])
+    edges = edges[edges < text.n]
+    first[edges] = on[edges]
+    edges = np.concatenate([text.offsets[1:], at, ends]) - 1
+    edges = edges[edges >= 0]
+    last[edges] = on[edges]
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, text.offsets)
+
+
+def pieces(text: Text, special: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, with a final mark after an ASCII letter or digit as a piece of its own: no token spans the two.
+
+    ``special``: start and end of slices that are pieces as they are; words end there.
+    """
+    starts, ends, bounds = text.words() if special is None else cut_at(text, *special)
+    marked = (ends - starts > 1) & FINAL[text.buf[ends - 1]] & PLAIN[text.buf[ends - 2]]
+    if special is not None:
+        marked &= ~np.isin(starts, special[0])
+    k = np.flatnonzero(marked)
     cut = ends.copy()
     cut[k] -= 1
     return np.insert(starts, k + 1, ends[k] - 1), np.insert(cut, k + 1, ends[k]), bounds + np.searchsorted(k, bounds)
@@ -72,8 +97,9 @@ def pieces(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Tokenizer:
     """Ids by the tokenizers library, for each distinct piece once.
 
-    The vocabulary's pre-tokenizer never joins pieces, and its normalizer lower-cases, so texts come with A-Z in
-    lower case already.
+    The vocabulary's pre-tokenizer never joins pieces, and its normalizer lower-cases, so pieces are looked up with
+    A-Z in lower case. Strings of the vocabulary's special tokens are found in the text as it is, case and all, and
+    get their own ids, as by the library's plain call; what lower-casing makes equal to them is ordinary text.
     """
 
     #: Pieces that a worker remembers, in each of two generations.
@@ -84,21 +110,42 @@ class Tokenizer:
         import tokenizers
 
         self.inner = tokenizers.Tokenizer.from_file(path)
-        self.inner.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.inner.encode_special_tokens = True  # the pieces hold none
         self.lower = self.inner.normalizer is not None and self.inner.normalizer.normalize_str("AZ") == "az"
+        self.special = {t.content.encode(): i for i, t in self.inner.get_added_tokens_decoder().items() if t.special}
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip or not t.special for t in self.inner.get_added_tokens_decoder().values()):
+            raise ValueError("added tokens that depend on what stands around them are not read")
+        self.any = re.compile(b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.cache = Cache(self.REMEMBERED)
 
-    def encode(self, text: Text) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of a block, and the index of each document's first one (one more than documents)."""
-        starts, ends, bounds = pieces(text)
+    def find_special(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """Start, end and id of the special tokens' strings, leftmost first, within documents; None where there are none."""
+        raw = data.tobytes()
+        if self.any is None or not self.any.search(raw):
+            return None
+        found = [(m.start(), m.end(), self.special[m[0]]) for m in self.any.finditer(raw)]
+        at, ends, ids = (np.array(x, np.int64) for x in zip(*found, strict=True))
+        apart = np.searchsorted(offsets, at, "right") == np.searchsorted(offsets, ends, "left")
+        return at[apart], ends[apart], ids[apart]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a block of texts, and the index of each document's first one (one more than documents)."""
+        text, special = Text(data, offsets, lower=self.lower), self.find_special(data, offsets)
+        starts, ends, bounds = pieces(text) if special is None else pieces(text, special[:2])
 
         def make(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            raw = text.buf.tobytes()
-            words = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            raw = memoryview(text.buf)
+            words = [str(raw[a:b], "utf-8") for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
             found = [x.ids for x in self.inner.encode_batch_fast(words, add_special_tokens=False)]
             return np.fromiter(map(len, found), np.int64, len(found)), np.array([i for x in found for i in x], np.int32)
 
-        sizes, ids = self.cache.look(text.hashes(starts, ends), make)
+        sizes, ids = self.cache.look(text, starts, ends, make)
+        if special is not None:
+            at = np.searchsorted(starts, special[0])
+            keep = np.ones(len(starts), bool)
+            keep[at] = False
+            ids = np.insert(ids[np.repeat(keep, sizes)], (np.cumsum(sizes * keep) - sizes * keep)[at], special[2])
+            sizes = np.where(keep, sizes, 1)
         return ids, np.concatenate([[0], np.cumsum(sizes)])[bounds]
 
 
@@ -117,7 +164,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "do
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             for lo, hi in blocks(offsets):
-                ids, bounds = own.encode(Text(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], lower=own.lower))
+                ids, bounds = own.encode(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 ids = np.insert(ids, bounds[1:], end_id).astype(kind)
                 bounds = bounds + np.arange(len(bounds))
                 raw = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((bounds * ids.itemsize).astype(np.int32)), pa.py_buffer(ids)])
@@ -150,13 +197,14 @@ BLOCK_SCHEMA = "shard int, block int, tokens_before long, n_tokens long, doc_ids
 
 
 def write(docs: DataFrame, tokenizer_path: str, store: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Writes the store: ``store``/blocks and ``store``/ranks."""
+    """Writes the store: ``store``/blocks, ``store``/ranks and ``store``/shards (the index of each shard's first token)."""
     import tokenizers
 
     spark = docs.sparkSession
     size = max(tokenizers.Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1)
     kind = width(size, end_id)
-    tokens = written(tokenize(docs, tokenizer_path, end_id, id_col, text_col), "tokens")
+    raw_ids = scratch(spark, "tokens")
+    tokens = written(tokenize(docs, tokenizer_path, end_id, id_col, text_col), raw_ids)
     of_rank = ranks(tokens, size, kind)
     spark.createDataFrame([(k, int(i)) for k, i in enumerate(of_rank)], "rank int, id int").coalesce(1).write.parquet(f"{store}/ranks")
     rank = np.empty(size, np.uint32)
@@ -177,6 +225,10 @@ def write(docs: DataFrame, tokenizer_path: str, store: str, end_id: int = END_ID
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_BYTES))
     ordered = tokens.withColumn("tie", F.xxhash64("ids")).repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     arrow(ordered, run, BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{store}/blocks")
+    discard(spark, raw_ids)
+    sizes = spark.read.parquet(f"{store}/blocks").groupBy("shard").agg(F.sum("n_tokens").alias("n"))
+    before = F.sum("n").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1))
+    sizes.select("shard", F.coalesce(before, F.lit(0)).alias("base")).coalesce(1).write.parquet(f"{store}/shards")
 
 
 BLOCK_NAMES = [x.split()[0] for x in BLOCK_SCHEMA.split(", ")]
@@ -189,17 +241,16 @@ def decoded(spark: SparkSession, store: str, function, schema: str) -> DataFrame
     of_rank = spark.read.parquet(f"{store}/ranks").toArrow()
     table = np.zeros(of_rank.num_rows, np.uint32)
     table[of_rank.column(0).to_numpy()] = of_rank.column(1).to_numpy()
-    totals = sorted(tuple(r) for r in found.groupBy("shard").agg(F.sum("n_tokens")).collect())  # a row for each shard
-    bases, base = {}, 0
-    for shard, n in totals:
-        bases[shard], base = base, base + n
+    bases = spark.read.parquet(f"{store}/shards")
+    bases = F.broadcast(bases) if bases.count() <= SHARDS_SENT else bases
+    found = found.join(bases, "shard").withColumn("tokens_before", F.col("tokens_before") + F.col("base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 sizes = unpack(r["size_control"], r["size_data"], len(r["doc_ids"])).astype(np.int64)
                 ids = table[unpack(r["control"], r["data"], r["n_tokens"])]
-                yield function(ids, sizes, r["doc_ids"], bases[r["shard"]] + r["tokens_before"])
+                yield function(ids, sizes, r["doc_ids"], r["tokens_before"])
 
     return arrow(found.select(*BLOCK_NAMES), run, schema)
 
@@ -228,4 +279,5 @@ def digests(spark: SparkSession, store: str) -> DataFrame:
 
 
 def new_store(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"
+    """A folder for a store that lasts as long as the application."""
+    return scratch(spark, "token-store")

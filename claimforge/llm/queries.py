@@ -22,7 +22,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.rules(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.rules(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

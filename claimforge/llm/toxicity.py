@@ -21,7 +21,8 @@ score is the smoothed share of label 1.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -51,21 +52,27 @@ IS_LEET[[ord(c) for c in LEET]] = True
 IS_BETWEEN[[ord(c) for c in BETWEEN]] = True
 #: Log-probabilities of the channel: a symbol for a letter, a dropped separator, one that is kept between single characters, a run for one letter or two.
 SUBSTITUTE, DROP, KEEP, SQUEEZE = -1.0, -0.1, -3.0, -0.7
-#: Restored spans that a worker remembers.
-REMEMBERED = 100_000
+#: Restored spans that a worker remembers, and pieces after which what all paths share is put out.
+REMEMBERED, SETTLED = 100_000, 1024
 #: Token weights below LEAST are no evidence; those above STRONG are counted.
 LEAST, STRONG = 1.0, 2.0
 
 
+def bordered(classes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The classes with two of white space before, between and behind documents, so that no trigram holds parts of two."""
+    filled = np.diff(offsets) > 0
+    return np.append(np.insert(classes, np.repeat(offsets[:-1][filled], 2), 0), [0, 0]) if filled.any() else classes
+
+
 def count_trigrams(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Counts of character trigrams over all documents."""
+    """Counts of character trigrams over all documents, the same however these are dealt out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES**3, np.int64)
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
             for lo, hi in blocks(offsets):
-                c = CLASS[data[offsets[lo] : offsets[hi]]].astype(np.int32)
+                c = bordered(CLASS[data[offsets[lo] : offsets[hi]]].astype(np.int32), offsets[lo : hi + 1] - offsets[lo])
                 if len(c) > 2:
                     total += np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=CLASSES**3)
         some = np.flatnonzero(total)
@@ -87,39 +94,47 @@ def log_model(counts: np.ndarray) -> list:
     return np.log(three / three.sum(axis=2, keepdims=True)).tolist()
 
 
-def lattice(span: bytes) -> list[list[tuple[bytes, float]]]:
-    """Alternatives (output, log-probability) of each piece of a span; a piece is one character, a run of one letter or white space."""
-    out, i, n = [], 0, len(span)
-    while i < n:
-        c = span[i]
-        j = i + 1
-        if LETTER[c] and c < 128:
-            while j < n and span[j] == c:
-                j += 1
-        elif WHITE[c]:
-            while j < n and WHITE[span[j]]:
-                j += 1
-        own = span[i:j]
-        spaced = IS_BETWEEN[c]
-        choices = [(own, KEEP if spaced else 0.0)]
-        if spaced:
-            choices.append((b"", DROP))
-        elif j - i >= 3:
-            choices += [(own[:1], SQUEEZE), (own[:2], SQUEEZE)]
-        elif j - i == 2:
-            choices.append((own[:1], SQUEEZE))
-        elif IS_LEET[c]:
-            choices += [(x.encode(), SUBSTITUTE) for x in LEET[chr(c)]]
-        out.append(choices)
-        i = j
-    return out
-
-
-def viterbi(pieces: list[list[tuple[bytes, float]]], model: list) -> bytes:
-    """The likeliest output between two word ends."""
-    # outputs as chains, so that a long span costs no copies of what is decoded already
+def choices_of(piece: bytes) -> list[tuple[bytes, float]]:
+    """Alternatives (output, log-probability) of a piece: one character, a run of one letter or of white space."""
+    c = piece[0]
+    spaced = IS_BETWEEN[c]
+    choices = [(piece, KEEP if spaced else 0.0)]
+    if spaced:
+        choices.append((b"", DROP))
+    elif len(piece) >= 3:
+        choices += [(piece[:1], SQUEEZE), (piece[:2], SQUEEZE)]
+    elif len(piece) == 2:
+        choices.append((piece[:1], SQUEEZE))
+    elif IS_LEET[c]:
+        choices += [(x.encode(), SUBSTITUTE) for x in LEET[chr(c)]]
+    return choices
+
+
+PIECE = re.compile(rb"[\x20\x09-\x0D]+|([A-Za-z])\1*+|.", re.S)
+
+
+def lattice(span: bytes) -> Iterator[list[tuple[bytes, float]]]:
+    """The alternatives of each piece of a span, one after the other."""
+    alone: dict[bytes, list[tuple[bytes, float]]] = {}
+    for m in PIECE.finditer(span):
+        piece = m[0]
+        if len(piece) > 2:
+            yield choices_of(piece)
+        else:
+            if piece not in alone:
+                alone[piece] = choices_of(piece)
+            yield alone[piece]
+
+
+def viterbi(pieces: Iterable[list[tuple[bytes, float]]], model: list) -> bytes:
+    """The likeliest output between two word ends.
+
+    Outputs are chains of back-pointers. What all paths share is put out every SETTLED pieces, so a long span takes
+    time in proportion to its length, and memory for its output and the part on which paths differ.
+    """
     paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    for choices in pieces:
+    parts: list[bytes] = []
+    for n, choices in enumerate(pieces, 1):
         new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (score, chain) in paths.items():
             for out, cost in choices:
@@ -131,12 +146,36 @@ def viterbi(pieces: list[list[tuple[bytes, float]]], model: list) -> bytes:
                 if (p, q) not in new or s > new[p, q][0]:
                     new[p, q] = (s, (chain, out))
         paths = new
+        if n % SETTLED == 0:
+            paths = settle(paths, parts)
     _, chain = max(((s + model[p][q][0], chain) for (p, q), (s, chain) in paths.items()), key=lambda x: x[0])
-    parts = []
+    return b"".join([*parts, *(out for _, out in unrolled(chain))])
+
+
+def unrolled(chain: tuple | None) -> list[tuple]:
+    """The nodes of a chain, first to last."""
+    nodes = []
     while chain is not None:
-        chain, out = chain
-        parts.append(out)
-    return b"".join(reversed(parts))
+        nodes.append(chain)
+        chain = chain[0]
+    return nodes[::-1]
+
+
+def settle(paths: dict, parts: list[bytes]) -> dict:
+    """The paths without what their chains share from the beginning, which goes to ``parts``."""
+    chains = [unrolled(chain) for _, chain in paths.values()]
+    shared, least = 0, min(map(len, chains))
+    while shared < least and all(x[shared] is chains[0][shared] for x in chains):
+        shared += 1
+    parts += [out for _, out in chains[0][:shared]]
+    again: dict[int, tuple] = {}
+    out = {}
+    for (state, (score, _)), nodes in zip(paths.items(), chains, strict=True):
+        chain = None
+        for node in nodes[shared:]:
+            chain = again.setdefault(id(node), (chain, node[1]))
+        out[state] = score, chain
+    return out
 
 
 def suspects(text: Text) -> tuple[np.ndarray, np.ndarray]:

@@ -7,13 +7,11 @@ extra columns pass through all stages but the last.
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from claimforge.llm import byte_bpe, decontamination, pii, simhash, toxicity
-from claimforge.llm.common import shared_dir
+from claimforge.llm.common import scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +54,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    at = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    at = scratch(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:

@@ -1,14 +1,14 @@
 """Planning: exact quotas, specifications by slot, video splits and samples; no driver loop, no draw that depends on order.
 
 Drawing with weights equal to the remaining quota is drawing from an urn without replacement. So each dimension
-is the quota multiset under a bijection of slot numbers: slot i takes the value at place (a * i + b) mod n. The
-counts are exact and no row has to know another.
+is the quota multiset under a random bijection of slot numbers, its own for each dimension: the counts are exact, the
+dimensions independent of each other, and no row has to know another.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
 from hashlib import md5
-from math import gcd
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -30,14 +30,33 @@ def quotas(shares: dict[str, float], n: int) -> dict[str, int]:
     return out
 
 
-def place(slot: Column, n: int, *purpose: str | int) -> Column:
-    """A bijection of 0 ... n - 1, its own for each purpose."""
-    draw = int(md5("|".join(map(str, purpose)).encode()).hexdigest(), 16)
-    # near the golden section of n, neighbours land far apart; below 2^31, so that products stay within a long
-    a = min(n, 1 << 30) * 618 // 1000 + draw % 97
-    while gcd(a, n) != 1:
-        a += 1
-    return ((slot * a + draw % n) % n).cast("long")
+#: Rounds of a bijection, and the prime its coins are drawn by; products of two values below it fit a long.
+ROUNDS, PRIME = 36, (1 << 31) - 1
+
+
+@lru_cache(256)
+def rounds(*purpose: str | int) -> list[tuple[int, int, int]]:
+    """(k, a, b) of each round of a bijection."""
+    draws = (md5("|".join(map(str, (*purpose, r))).encode()).hexdigest() for r in range(ROUNDS))
+    return [(int(h[:15], 16), int(h[15:22], 16) + 1, int(h[22:29], 16)) for h in draws]
+
+
+def place(slot: Column, n: Column | int, *purpose: str | int) -> Column:
+    """A bijection of 0 ... n - 1, its own for each purpose, by swap-or-not.
+
+    In each round x and (k - x) mod n are partners, and a coin of the larger of the two says whether they change places:
+    ((u * u + a) mod PRIME) div 8 is odd, where u = (larger * a + b) mod PRIME. It holds for any n, by arithmetic alone.
+    """
+    n = n if isinstance(n, Column) else F.lit(n)
+    n, prime = n.cast("long"), F.lit(PRIME).cast("long")
+    steps = F.expr("array(" + ", ".join(f"named_struct('k', {k}L, 'a', {a}L, 'b', {b}L)" for k, a, b in rounds(*purpose)) + ")")
+
+    def step(x: Column, r: Column) -> Column:
+        partner = (r.k % n - x + n) % n
+        u = (F.greatest(x, partner) % prime * r.a + r.b) % prime
+        return F.when(F.expr("8L") <= (u * u + r.a) % prime % 16, partner).otherwise(x)
+
+    return F.aggregate(steps, slot.cast("long"), step)
 
 
 def spread(at: Column, counts: dict[str, int]) -> Column:
@@ -79,18 +98,24 @@ def plan(spark: SparkSession, config: Config, split: str, n: int) -> DataFrame:
     )
 
 
-def split_videos(videos: DataFrame, seed: int, val_share: float = 0.1) -> DataFrame:
-    """(video_id, split): the val_share of ids with the smallest draws is val, the rest train.
+def ranked(df: DataFrame, key: Column, item: str, group: str | None = None) -> DataFrame:
+    """``df`` with _rank (1, 2, ... in the order of ``key`` and ``item``) and _total, of each group or of all rows.
 
-    The rank of a draw is found from counts: ids are dealt over ranges of their draw, each range is ranked by
-    itself, and the sizes of the ranges before it are added, so no task sees all ids.
+    A rank is found from counts: rows are dealt over 4096 ranges of their key (hexadecimal text), each range is ranked by
+    itself, and the sizes of the ranges before it are added, so no task sees all rows. Only sizes of ranges are sent.
     """
-    rows = videos.select("video_id").dropna().distinct().withColumn("h", rand.key(seed, "split", F.col("video_id")))
-    rows = rows.withColumn("range", F.substring("h", 1, 3))  # 4096 ranges
-    sizes = rows.groupBy("range").agg(F.count("*").alias("n"))
-    before = sizes.select("range", (F.sum("n").over(W.orderBy("range")) - F.col("n")).alias("before"), F.sum("n").over(W.partitionBy()).alias("total"))
-    rank = F.row_number().over(W.partitionBy("range").orderBy("h", "video_id")) + F.col("before")
-    return rows.join(F.broadcast(before), "range").select("video_id", F.when(rank <= F.floor(F.lit(val_share) * F.col("total")), "val").otherwise("train").alias("split"))
+    by = [group] if group else []
+    rows = df.withColumn("_key", key).withColumn("_range", F.substring("_key", 1, 3))
+    sizes = rows.groupBy(*by, "_range").agg(F.count("*").alias("_n"))
+    before = sizes.select(*by, "_range", (F.sum("_n").over(W.partitionBy(*by).orderBy("_range")) - F.col("_n")).alias("_before"), F.sum("_n").over(W.partitionBy(*by)).alias("_total"))
+    rank = F.row_number().over(W.partitionBy(*by, "_range").orderBy("_key", item)) + F.col("_before")
+    return rows.join(F.broadcast(before), [*by, "_range"]).withColumn("_rank", rank).drop("_key", "_range", "_before")
+
+
+def split_videos(videos: DataFrame, seed: int, val_share: float = 0.1) -> DataFrame:
+    """(video_id, split): the val_share of ids with the smallest draws is val, the rest train."""
+    rows = ranked(videos.select("video_id").dropna().distinct(), rand.key(seed, "split", F.col("video_id")), "video_id")
+    return rows.select("video_id", F.when(F.col("_rank") <= F.floor(F.lit(val_share) * F.col("_total")), "val").otherwise("train").alias("split"))
 
 
 def stratified(df: DataFrame, stratum: str, item: str, n: int, seed: int) -> DataFrame:
@@ -100,13 +125,13 @@ def stratified(df: DataFrame, stratum: str, item: str, n: int, seed: int) -> Dat
 
 
 def assign_videos(spec: DataFrame, videos: DataFrame, seed: int) -> DataFrame:
-    """``spec`` with a video for each slot and attempt: every video of a split about as often as any other.
+    """``spec`` with a video for each slot and attempt: every n slots in a row take every video of their split once.
 
-    ``videos``: (video_id, split). Videos are numbered in the order of their draws; a slot takes the number its
-    own permutation gives, a further attempt the next but some.
+    ``videos``: (video_id, split). Videos are numbered in the order of their draws; a slot takes the number that a
+    bijection of 0 ... n - 1 gives for its own number, a further attempt the one for the next. Slots of a split
+    without videos are left out.
     """
-    order = W.partitionBy("split").orderBy(rand.key(seed, "order", F.col("video_id")), "video_id")
-    numbered = videos.select("split", "video_id", (F.row_number().over(order) - 1).alias("number"), F.count("*").over(W.partitionBy("split")).alias("n_videos"))
-    sizes = numbered.groupBy("split").agg(F.first("n_videos").alias("n"))
-    turn = (F.col("slot_id") * 7919 + F.col("attempt") * 104_729 + F.floor(rand.uniform(seed, F.col("split"), "turn") * F.col("n"))) % F.col("n")
-    return spec.join(F.broadcast(sizes), "split").withColumn("number", turn.cast("int")).drop("n").join(numbered.drop("n_videos"), ["split", "number"]).drop("number")
+    numbered = ranked(videos.select("split", "video_id"), rand.key(seed, "order", F.col("video_id")), "video_id", "split")
+    sizes = numbered.groupBy("split").agg(F.count("*").alias("_n"))
+    turn = place((F.col("slot_id") + F.col("attempt")) % F.col("_n"), F.col("_n"), seed, "videos") + 1
+    return spec.join(F.broadcast(sizes), "split").withColumn("_rank", turn).drop("_n").join(numbered.drop("_total"), ["split", "_rank"]).drop("_rank")

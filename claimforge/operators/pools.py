@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import rand
+
 
 def literals(items: list) -> Column:
     return F.array(*map(F.lit, items))
@@ -31,6 +33,12 @@ def absent(df: DataFrame, scene: str, item: str, vocabulary: list) -> DataFrame:
     return sets.select(scene, F.explode(F.array_except(literals(vocabulary), "items")).alias(item))
 
 
+def false_object(df: DataFrame, scene: str, item: str, vocabulary: list, seed: int) -> DataFrame:
+    """(scene, item): one vocabulary item, drawn by the scene's key, that the scene lacks; null where it has them all."""
+    sets = present_sets(df, scene, item)
+    return sets.select(scene, rand.pick(F.array_except(literals(vocabulary), "items"), seed, "false_object", F.col(scene)).alias(item))
+
+
 def joint(df: DataFrame, scene: str, obj: str, relation: str) -> DataFrame:
     """(scene, object, first, second) of every two relations of one object, in order (HAVING at least two)."""
     sets = df.select(scene, obj, relation).dropna().groupBy(scene, obj).agg(F.sort_array(F.collect_set(relation)).alias("r")).filter(F.size("r") > 1)
@@ -84,6 +92,6 @@ def around(events: DataFrame, scene: str, event: str, start: str, pivot: Column)
 
 
 def same_group(df: DataFrame, item: str, group: str) -> DataFrame:
-    """(item, other) of every two items of one group."""
+    """(item, other, group) of every two items of one group."""
     a, b = df.select(item, group).dropna().distinct(), df.select(F.col(item).alias("other"), group).dropna().distinct()
-    return a.join(b, group).filter(F.col(item) != F.col("other")).select(item, "other")
+    return a.join(b, group).filter(F.col(item) != F.col("other")).select(item, "other", group)

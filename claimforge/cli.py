@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> engine.Run:
     train = scene_graphs.read(spark, args.train or config.raw["paths"]["scene_graphs_train"])
     test = scene_graphs.read(spark, args.test) if args.test else None
     existing = sink.existing_keys(spark, config.output()) if args.resume else None
-    result = engine.run(spark, config, train, test, existing)
+    result = engine.run(spark, config, train, test, existing, progress=print)
     engine.publish(spark, config, result)
     print({k: v for k, v in result.stats.items() if not isinstance(v, dict)})
     return result

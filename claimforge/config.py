@@ -13,7 +13,7 @@ DEFAULTS: dict[str, Any] = {
     "version": "1.0",
     "scale": "100k",
     "paths": {"scene_graphs_train": "data/train", "scene_graphs_test": "data/test", "output_dir": "data/generated"},
-    "generation": {"seed": 42, "shard_size": 50_000, "rounds": 4, "semantics": "reference"},
+    "generation": {"seed": 42, "shard_size": 50_000, "rounds": 0, "semantics": "reference"},
     "splits": {"video_split_ratio": {"train": 0.8, "val": 0.1, "test": 0.1}, "val_share": 0.1},
     "distributions": {
         "reasoning_families": {"action": 0.20, "temporal": 0.20, "compositional": 0.20, "object": 0.15, "spatial_contact": 0.15, "grounding": 0.10},

@@ -2,16 +2,19 @@
 
 A round is one declarative plan; its result is written before the next begins, so lineage doesn't grow and a lost
 executor costs no earlier round. Within a round the first row of a content key wins, ahead of validation, over all
-splits; keys of earlier rounds and runs are left out. A rejected row takes its key. Rounds are bounded; what is
-still open after the last one is reported.
+splits; keys of earlier rounds and runs are left out. A rejected row takes its key. Rounds go on until every slot is
+filled or a round fills none (or ``rounds`` of the configuration are over); what is still open then is reported.
 """
 
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..operators import planner
 from ..operators.dedup import content_key, first_wins, resume
-from ..operators.generate import generate
+from ..operators.generate import UNTARGETED, generate, route
 from ..operators.normalize import normalize, wide_pools
 from ..operators.validate import rejection_reasons, validate
 from ..sources import sink
@@ -32,9 +35,19 @@ class Run:
     videos: dict[str, int] = field(default_factory=dict)
 
 
-def scratch(spark: SparkSession) -> str:
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="claimforge-")
-    return f"{base.rstrip('/')}/engine-{uuid.uuid4().hex}"
+def scratch(spark: SparkSession, what: str = "engine") -> str:
+    """A folder of its own under spark.checkpoint.dir, which all executors share; it goes when the application ends. A local Spark may do without the setting."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="claimforge-")
+        spark.sparkContext.setCheckpointDir(base)
+    path = f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    fs, of = sink.hadoop(spark, path)
+    fs.mkdirs(of(path))
+    fs.deleteOnExit(of(path))
+    return path
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
@@ -51,8 +64,9 @@ def splits_of(train: DataFrame, test: DataFrame | None, seed: int, val_share: fl
     return own.join(ids, "video_id", "left_anti").unionByName(ids.withColumn("split", F.lit("test")))
 
 
-def run(spark: SparkSession, config: Config, train: DataFrame, test: DataFrame | None = None, existing: DataFrame | None = None) -> Run:
-    """All splits. ``train`` and ``test``: raw scene graphs; ``existing``: (split, key) of earlier rows, which count toward the targets."""
+def run(spark: SparkSession, config: Config, train: DataFrame, test: DataFrame | None = None, existing: DataFrame | None = None, progress: Callable[[str], None] | None = None) -> Run:
+    """All splits. ``train`` and ``test``: raw scene graphs; ``existing``: (split, key) of earlier rows, which count toward the targets;
+    ``progress`` is told of each round."""
     at = scratch(spark)
     raw = train if test is None else train.unionByName(test)
     pools = written(wide_pools(normalize(raw)), f"{at}/pools")
@@ -69,8 +83,10 @@ def run(spark: SparkSession, config: Config, train: DataFrame, test: DataFrame |
     keys = existing.select("key") if existing is not None else spark.createDataFrame([], "key string")
     kept, checked = [], []
     produced = spark.createDataFrame([], "n long")
-    for k in range(config.raw["generation"]["rounds"]):
+    left, began, most = sum(config.targets().values()), time.monotonic(), config.raw["generation"]["rounds"]
+    for k in count():
         tried = planner.assign_videos(slots.withColumn("attempt", F.lit(k)), videos, config.seed)
+        tried = route(tried, pools, config.seed) if UNTARGETED in config.distribution("reasoning_families") else tried
         made = generate(tried, pools, config.seed, config.strict)
         made = written(made.withColumn("key", content_key(F.col("video_id"), F.col("query_text"), F.transform("propositions", lambda p: p.text))), f"{at}/made-{k}")
         produced = produced.union(made.agg(F.count("*")))
@@ -80,13 +96,20 @@ def run(spark: SparkSession, config: Config, train: DataFrame, test: DataFrame |
         kept.append(rows.filter("is_valid"))
         keys = keys.union(rows.select("key"))
         slots = written(slots.join(rows.filter("is_valid").select("split", "slot_id"), ["split", "slot_id"], "left_anti"), f"{at}/open-{k}")
-        if slots.isEmpty():
+        before, left = left, slots.count()
+        if progress:
+            progress(f"round {k}: {left} of {sum(config.targets().values())} examples open after {time.monotonic() - began:.0f} s")
+        # the first round also takes the rows that are there already
+        if not left or (k and left == before) or (most and k + 1 >= most):
             break
     union = lambda parts: reduce(DataFrame.unionByName, parts)
     accepted, every = union(kept), union(checked)
     candidates, n_checked, n = produced.agg(F.sum("n")).first()[0] or 0, every.count(), accepted.count()
     reasons = {r.reason: r.n for r in rejection_reasons(every).orderBy(F.desc("n"), "reason").collect()}
-    stats = {"candidates": candidates, "accepted": n, "rejected": n_checked - n, "duplicates": candidates - n_checked, "shortfall": slots.count(), "reasons": reasons, "counts": sink.counts(accepted), "diversity": sink.diversity(accepted)}
+    subtypes: dict[str, dict[str, int]] = {}
+    for r in sink.subtypes_table(accepted).orderBy("kind", F.desc("n"), "value").collect():
+        subtypes.setdefault(r.kind, {})[r.value] = r.n
+    stats = {"candidates": candidates, "accepted": n, "rejected": n_checked - n, "duplicates": candidates - n_checked, "shortfall": left, "reasons": reasons, "counts": sink.counts(accepted), "diversity": sink.diversity(accepted), "subtypes": subtypes}
     for name in ("task_types", "reasoning_families", "split_counts", "k_counts"):
         if sum(stats["counts"][name].values()) != n:
             raise AssertionError(f"{name} does not add up to {n}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -26,19 +27,42 @@ def rows(accepted: DataFrame) -> DataFrame:
 
 
 def write(accepted: DataFrame, path: str, shard_size: int = 50_000) -> None:
-    """Appends shards of at most ``shard_size`` rows to ``path``/split; the split is also a column of every file."""
-    out = rows(accepted)
+    """Appends shards of at most ``shard_size`` rows to ``path``/split, numbered part-000000.parquet and so on; the split is also a column of every file.
+
+    Rows are written beside the split's folder by Spark's commit protocol and then moved, so a folder never holds half a
+    shard. What a broken run leaves behind begins with an underscore, which readers skip.
+    """
+    out, spark = rows(accepted), accepted.sparkSession
+    fs, of = hadoop(spark, path)
     for split in ("train", "val", "test"):
-        out.filter(F.col("split") == split).write.mode("append").option("maxRecordsPerFile", shard_size).parquet(f"{path}/{split}")
+        staged, final = of(f"{path}/_new-{split}-{uuid.uuid4().hex}"), of(f"{path}/{split}")
+        out.filter(F.col("split") == split).write.option("maxRecordsPerFile", shard_size).parquet(staged.toString())
+        fs.mkdirs(final)
+        names = lambda at: sorted(x.getPath().getName() for x in fs.listStatus(at) if x.getPath().getName().startswith("part-"))
+        first = max((int(n[5:11]) + 1 for n in names(final) if n[5:11].isdigit()), default=0)
+        for k, name in enumerate(names(staged)):
+            if not fs.rename(of(f"{staged.toString()}/{name}"), of(f"{path}/{split}/part-{first + k:06}.parquet")):
+                raise OSError(f"{name} could not be moved to {path}/{split}")
+        fs.delete(staged, True)
+
+
+def hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and what makes a path of a string."""
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    return of(path).getFileSystem(spark._jsc.hadoopConfiguration()), of
+
+
+def as_json(accepted: DataFrame) -> DataFrame:
+    """(example_id, json): each example with all its columns as one JSON object."""
+    return accepted.select("example_id", F.to_json(F.struct(*accepted.columns)).alias("json"))
 
 
 def existing_keys(spark: SparkSession, path: str) -> DataFrame:
     """(split, key) of the rows that earlier runs have written; only three columns are read."""
     out = spark.createDataFrame([], "split string, key string")
-    fs = spark._jvm.org.apache.hadoop.fs.FileSystem
+    fs, of = hadoop(spark, path)
     for split in ("train", "val", "test"):
-        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{split}")
-        if fs.get(at.toUri(), spark._jsc.hadoopConfiguration()).exists(at):
+        if fs.exists(of(f"{path}/{split}")) and fs.listStatus(of(f"{path}/{split}")):
             shards = spark.read.schema(SINK).parquet(f"{path}/{split}")
             out = out.union(shards.select(F.lit(split), content_key(F.col("video_id"), F.col("query"), F.col("options"))))
     return out
@@ -50,32 +74,57 @@ DIMENSIONS = {
 }
 
 
+def counts_table(accepted: DataFrame) -> DataFrame:
+    """(dimension, value, n, share) of each of DIMENSIONS, in one pass: a row becomes a pair for each dimension, and pairs are counted."""
+    pairs = F.array(*(F.struct(F.lit(d).alias("dimension"), F.expr(e).cast("string").alias("value")) for d, e in DIMENSIONS.items()))
+    n = accepted.select(F.inline(pairs)).groupBy("dimension", "value").agg(F.count("*").alias("n"))
+    return n.withColumn("share", F.round(F.col("n") / F.sum("n").over(W.partitionBy("dimension")), 6))
+
+
 def counts(accepted: DataFrame) -> dict[str, dict[str, int]]:
-    """Rows by each of DIMENSIONS, in one pass: a row becomes a pair for each dimension, and pairs are counted."""
-    pairs = F.array(*(F.struct(F.lit(d).alias("d"), F.expr(e).cast("string").alias("v")) for d, e in DIMENSIONS.items()))
+    """The same as a dict of dicts, the most frequent first."""
     out: dict[str, dict[str, int]] = {d: {} for d in DIMENSIONS}
-    for r in accepted.select(F.inline(pairs)).groupBy("d", "v").count().orderBy("d", F.desc("count"), "v").collect():
-        out[r.d][r.v] = r["count"]
+    for r in counts_table(accepted).orderBy("dimension", F.desc("n"), "value").collect():
+        out[r.dimension][r.value] = r.n
     return out
 
 
-def diversity(accepted: DataFrame) -> dict[str, int]:
-    """Distinct videos, templates, evidence signatures (without and with the video), option sets and proposition signatures; truth states and "none" options."""
+def subtypes_table(accepted: DataFrame) -> DataFrame:
+    """(kind, value, n): temporal claims by subtype (several hops, else the relation of the first true option, else unknown) and by hops; grounding claims by subtype."""
+    family, kind = F.col("reasoning.family"), F.col("reasoning.type")
+    true = F.get(F.filter("propositions", lambda p: (p.semantics.canonical_type == "temporal") & (p.truth_state == "TRUE")), F.lit(0))
+    of_time = F.when(kind.contains("multihop"), "multihop").otherwise(F.coalesce(true.semantics.temporal_relation, F.lit("unknown")))
+    of_place = F.when(kind.contains("identification"), "identification").when(kind.contains("verification"), "verification")
+    pair = lambda k, v: F.struct(F.lit(k).alias("kind"), v.cast("string").alias("value"))
+    pairs = F.when(family == "temporal", F.array(pair("temporal_subtypes", of_time), pair("temporal_hops", F.col("reasoning.hops")))).when((family == "grounding") & of_place.isNotNull(), F.array(pair("grounding_subtypes", of_place)))
+    return accepted.select(F.inline(pairs)).groupBy("kind", "value").agg(F.count("*").alias("n"))
+
+
+def diversity_table(accepted: DataFrame) -> DataFrame:
+    """One row: distinct videos, templates, evidence signatures (without and with the video), option sets and proposition signatures; truth states and "none" options."""
     e = F.col("evidence")
     sig = lambda video=None: evidence_signature(e.object_ids, e.relation_ids, e.frame_ids, video)
     texts = F.array_join(F.sort_array(F.transform("propositions", lambda p: p.text)), "\u0001")
-    one = accepted.agg(F.count("*").alias("examples"), F.count_distinct("video_id").alias("videos"), F.count_distinct("query_template_id").alias("templates"), F.count_distinct(sig()).alias("evidence_signatures"), F.count_distinct(sig(F.col("video_id"))).alias("video_evidence_signatures"), F.count_distinct(F.md5(texts)).alias("option_sets")).first().asDict()
+    one = accepted.agg(F.count("*").alias("examples"), F.count_distinct("video_id").alias("videos"), F.count_distinct("query_template_id").alias("templates"), F.count_distinct(sig()).alias("evidence_signatures"), F.count_distinct(sig(F.col("video_id"))).alias("video_evidence_signatures"), F.count_distinct(F.md5(texts)).alias("option_sets"))
     options = accepted.select(F.explode("propositions").alias("p")).select("p.*")
     none = F.col("semantics.canonical_type") == "logical_none"
     states = {s: F.count_if(F.col("truth_state") == s).alias(s) for s in ("TRUE", "FALSE", "UNKNOWN")}
-    two = options.agg(*states.values(), F.count_if(none).alias("none_included"), F.count_if(none & (F.col("truth_state") == "TRUE")).alias("none_true"), F.count_if(none & (F.col("truth_state") == "FALSE")).alias("none_false"), F.count_distinct(F.to_json("semantics")).alias("proposition_signatures")).first().asDict()
-    return {**one, **two}
+    two = options.agg(*states.values(), F.count_if(none).alias("none_included"), F.count_if(none & (F.col("truth_state") == "TRUE")).alias("none_true"), F.count_if(none & (F.col("truth_state") == "FALSE")).alias("none_false"), F.count_distinct(F.to_json("semantics")).alias("proposition_signatures"))
+    return one.join(two, how="cross")
 
 
-def samples(accepted: DataFrame, n: int = 5) -> list:
-    """The first ``n`` examples of each rule, by slot."""
+def diversity(accepted: DataFrame) -> dict[str, int]:
+    return diversity_table(accepted).first().asDict()
+
+
+def samples_table(accepted: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` examples of each rule, by slot, with their rank."""
     rank = F.row_number().over(W.partitionBy("generation_rule").orderBy("split", "slot_id", "attempt"))
-    return accepted.withColumn("_rank", rank).filter(F.col("_rank") <= n).orderBy("generation_rule", "_rank").collect()
+    return accepted.withColumn("_rank", rank).filter(F.col("_rank") <= n)
+
+
+def samples(accepted: DataFrame, n: int = 5) -> list:
+    return samples_table(accepted, n).orderBy("generation_rule", "_rank").collect()
 
 
 def manifest(config, stats: dict) -> str:
@@ -97,14 +146,14 @@ def reports(stats: dict, examples: list, videos: dict[str, int]) -> dict[str, st
     split = ["# Splits", "", *(f"- {s} videos: {c}" for s, c in videos.items()), "", "## Examples", *(f"- {s}: {c}" for s, c in stats["counts"]["split_counts"].items())]
     spread = ["# Diversity", "", f"- Videos used: {d['videos']}", f"- Examples a video: {n / max(1, d['videos']):.2f}", f"- Examples an evidence signature: {n / max(1, d['evidence_signatures']):.2f}", f"- Evidence reuse: {share(n - d['evidence_signatures'], n)}", f"- The same, by video: {share(n - d['video_evidence_signatures'], n)}"]
     spread += [f"- Proposition signatures: {d['proposition_signatures']}", f"- Option sets: {d['option_sets']}", f"- Templates: {d['templates']}", f"- Duplicates caught: {share(stats['duplicates'], stats['candidates'])}", f"- Truth states: TRUE {d['TRUE']}, FALSE {d['FALSE']}, UNKNOWN {d['UNKNOWN']}", f"- NONE options: {d['none_included']} ({d['none_true']} true, {d['none_false']} false)"]
-    for name, values in stats["counts"].items():
+    for name, values in {**stats["counts"], **stats.get("subtypes", {})}.items():
         spread += ["", f"## {name}", *(f"- {v}: {c} ({share(c, n)})" for v, c in values.items())]
     return {name: "\n".join(x) + "\n" for name, x in (("SAMPLE_REPORT.md", lines), ("VALIDATION_REPORT.md", checked), ("SPLIT_REPORT.md", split), ("DIVERSITY_REPORT.md", spread))}
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file on any file system that Spark reaches."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    fs, of = hadoop(spark, path)
+    out = fs.create(of(path), True)
     out.write(bytearray(text.encode()))
     out.close()

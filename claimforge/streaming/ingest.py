@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Config
 from ..operators import planner
-from ..operators.dedup import content_key, first_wins, resume
+from ..operators.dedup import content_key, first_wins
 from ..operators.generate import generate
 from ..operators.normalize import normalize, wide_pools
 from ..operators.validate import validate
@@ -27,12 +27,17 @@ def claims_of(spark: SparkSession, config: Config, raw: DataFrame, per_video: in
 
 
 def start(spark: SparkSession, source: str, output: str, checkpoint: str, config: Config, per_video: int = 4) -> StreamingQuery:
-    """Reads JSON lines that appear in ``source``; exactly-once needs no more than the content keys, as a repeated batch adds nothing."""
-    stream = spark.readStream.schema(RAW).json(source)
+    """Reads JSON lines that appear in ``source`` and writes claims to ``output``/train/batch=N.
+
+    A video that comes again is dropped by the stream's state (ids only; a state store on disk suits many), so no batch
+    reads what earlier ones have written. Content keys hold the video, so claims of different batches never collide. A
+    batch that is repeated after a failure replaces its own folder: every claim is written exactly once.
+    """
+    stream = spark.readStream.schema(RAW).json(source).filter("video_id is not null").dropDuplicates(["video_id"])
 
     def add(batch: DataFrame, number: int) -> None:
         new = claims_of(spark, config, batch.persist(), per_video, number)
-        sink.write(resume(new, sink.existing_keys(spark, output), ["key"]), output, config.raw["generation"]["shard_size"])
+        sink.rows(new).write.mode("overwrite").option("maxRecordsPerFile", config.raw["generation"]["shard_size"]).parquet(f"{output}/train/batch={number}")
         batch.unpersist()
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -131,9 +131,8 @@ def compositional_pairs(spark, sf_dir):
 
 @query("SELECT DISTINCT a.p_brand AS brand, b.p_brand AS other, a.p_type AS type FROM part a JOIN part b ON a.p_type = b.p_type AND a.p_brand <> b.p_brand")
 def verb_group_negatives(spark, sf_dir):
-    part = table(spark, sf_dir, "part").select("p_brand", "p_type").distinct()
-    a, b = part.select(F.col("p_brand").alias("brand"), F.col("p_type").alias("type")), part.select(F.col("p_brand").alias("other"), F.col("p_type").alias("type"))
-    return a.join(b, "type").filter("brand <> other").select("brand", "other", "type")
+    part = table(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), F.col("p_type").alias("type"))
+    return pools.same_group(part, "brand", "type")
 
 
 @query("SELECT c_custkey AS video_id, CASE WHEN row_number() OVER (ORDER BY md5('42|split|' || c_custkey), c_custkey) <= floor(0.1 * count(*) OVER ()) THEN 'val' ELSE 'train' END AS split FROM customer")
@@ -174,10 +173,10 @@ def stratified_sample(spark, sf_dir):
     return planner.stratified(docs, "lang", "doc_id", 10, 42)
 
 
-@query("SELECT min(doc_id) AS doc_id, count(*) AS n FROM documents GROUP BY text")
+@query("SELECT min(doc_id) AS doc_id FROM documents GROUP BY text")
 def first_wins_dedup(spark, sf_dir):
     keyed = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("key"))
-    return keyed.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")).drop("key")
+    return dedup.first_wins(keyed, ["key"], ["doc_id"]).select("doc_id")
 
 
 @query("SELECT a.doc_id FROM documents a WHERE a.source <> 'src0' AND NOT EXISTS (SELECT 1 FROM documents b WHERE b.source = 'src0' AND b.text = a.text)")
@@ -201,37 +200,6 @@ def evidence_reuse(spark, sf_dir):
     return counts.withColumn("per_signature", F.round(1 / ratio, 6)).withColumn("reuse", F.round(1 - ratio, 6))
 
 
-VALIDATE = f"""
-WITH {ORDERS}, g AS (SELECT scene, count(*) AS k, count(*) FILTER (flag = 'R') AS n_true, count(DISTINCT object) AS n_text, count(*) FILTER (flag = 'A') AS n_a FROM o GROUP BY scene),
-x AS (SELECT DISTINCT a.scene FROM o a JOIN o b ON a.scene = b.scene AND a.object = b.object AND a.flag = 'A' AND b.flag = 'R'),
-r AS (SELECT scene, 'option_count' AS reason FROM g WHERE k NOT BETWEEN 2 AND 40 UNION ALL SELECT scene, 'not_one_correct' FROM g WHERE n_true <> 1
-UNION ALL SELECT scene, 'duplicate_text' FROM g WHERE n_text <> k UNION ALL SELECT scene, 'exclusive' FROM x)"""
-
-
-def reasons(spark, sf_dir):
-    """(scene, reason) of each rule that an order breaks, taken as a group of options: brands as texts, flag R as correct."""
-    group = orders(spark, sf_dir).groupBy("scene").agg(F.collect_list(F.struct("object", "flag")).alias("options"))
-    objects = F.transform("options", lambda x: x.object)
-    of = lambda flag: F.transform(F.filter("options", lambda x: x.flag == flag), lambda x: x.object)
-    rules = F.array(
-        F.when(~F.size("options").between(2, 40), "option_count"),
-        F.when(F.size(of("R")) != 1, "not_one_correct"),
-        F.when(F.size(F.array_distinct(objects)) != F.size("options"), "duplicate_text"),
-        F.when(F.arrays_overlap(of("A"), of("R")), "exclusive"),
-    )
-    return group.select("scene", F.explode(F.array_compact(rules)).alias("reason"))
-
-
-@query(f"{VALIDATE} SELECT scene, reason FROM r")
-def validate_errors(spark, sf_dir):
-    return reasons(spark, sf_dir)
-
-
-@query(f"{VALIDATE} SELECT reason, count(*) AS n FROM r GROUP BY reason")
-def rejection_histogram(spark, sf_dir):
-    return reasons(spark, sf_dir).groupBy("reason").agg(F.count("*").alias("n"))
-
-
 @query("SELECT event_type AS family, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM events GROUP BY event_type")
 def family_share(spark, sf_dir):
     counts = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("family")).agg(F.count("*").alias("n"))
@@ -254,6 +222,18 @@ def distinct_signatures(spark, sf_dir):
     return one.withColumn("k", F.lit(1)).join(sets.withColumn("k", F.lit(1)), "k").drop("k")
 
 
+@query(f"""WITH {ORDERS}, v AS (SELECT DISTINCT p_brand AS object FROM part), a AS (SELECT s.scene, list(v.object ORDER BY v.object) AS absent FROM (SELECT DISTINCT scene FROM o) s CROSS JOIN v WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.scene = s.scene AND o.object = v.object) GROUP BY s.scene)
+SELECT scene, absent[1 + floor((('0x' || substr(md5('42|false_object|' || scene), 1, 13))::BIGINT / 4503599627370496.0) * len(absent))::INT] AS object FROM a""")
+def false_object_pick(spark, sf_dir):
+    return pools.false_object(orders(spark, sf_dir), "scene", "object", values(table(spark, sf_dir, "part"), "p_brand"), 42)
+
+
+@query("SELECT DISTINCT p_type AS noun, 'This region contains the ' || p_type || '.' AS positive, 'This region does not contain the ' || p_type || '.' AS negative FROM part")
+def render_grounding(spark, sf_dir):
+    nouns = table(spark, sf_dir, "part").select(F.col("p_type").alias("noun")).distinct()
+    return nouns.select("noun", render.grounding(F.col("noun")).alias("positive"), render.grounding(F.col("noun"), negative=True).alias("negative"))
+
+
 @query("SELECT event_type AS rule, event_id, r AS rank FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS r FROM events) WHERE r <= 5")
 def top5_per_rule(spark, sf_dir):
     rank = F.row_number().over(W.partitionBy("event_type").orderBy("ts", "event_id"))

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from claimforge.plans import star
+from claimforge.plans import scenes, star  # noqa: F401  scenes adds its queries
 
 SF = "/root/testdata/sf0.001"
 

@@ -146,7 +146,7 @@ def examine(s: str, kind: int, a: int, b: int) -> tuple[tuple[int, ...], tuple[i
 
 
 def wanted(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Documents that can hold a span at all: each kind needs an @, three digits, or "at" in brackets."""
+    """Documents that can hold a span at all: each kind needs a digit, an @, or "at" in brackets."""
     digits = sums((data >= 48) & (data <= 57), offsets)
     marks = sums(np.isin(data, np.frombuffer(b"@[(", np.uint8)), offsets)
     return np.flatnonzero((digits >= 1) | (marks > 0))

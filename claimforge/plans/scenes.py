@@ -616,3 +616,50 @@ def slot_videos(spark, sf_dir):
 
     spec = spark.range(4000).select(F.col("id").alias("slot_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("attempt")).select("*", F.explode(F.array(F.lit("train"), F.lit("val"))).alias("split"))
     return planner.assign_videos(spec, split_assignment(spark, sf_dir), SEED).select("split", "slot_id", "attempt", "video_id")
+
+
+# -- sources, templates, vocabularies ----------------------------------------------------------------------------------
+
+
+@query(STAR_SQL["object_view"])
+def json_lines_scan(spark, sf_dir):
+    """Scene graphs written as JSON lines, read by the engine's reader and normalized."""
+    from ..sources import scene_graphs
+    from .engine import scratch
+
+    at = f"{scratch(spark, 'graphs')}/part.jsonl"
+    raw(spark, sf_dir).write.json(at)
+    objects = normalize.normalize(scene_graphs.read(spark, at)).objects
+    return objects.groupBy("name").agg(F.count("*").alias("n"), F.count_distinct("video_id").alias("videos"))
+
+
+@query("SELECT 'q' || p_partkey AS question_id, 'Is ' || p_name || ' a ' || p_type || '?' AS question, p_size AS size FROM part")
+def questions_scan(spark, sf_dir):
+    """Files that each hold one JSON object of questions, a file for each brand."""
+    from ..sources import scene_graphs
+    from .engine import scratch
+
+    at = f"{scratch(spark, 'questions')}/q"
+    part = table(spark, sf_dir, "part")
+    one = F.struct(F.concat(F.lit("Is "), "p_name", F.lit(" a "), "p_type", F.lit("?")).alias("question"), F.col("p_size").alias("size"))
+    entries = part.select("p_brand", F.struct(F.concat(F.lit("q"), "p_partkey").alias("k"), one.alias("v")).alias("e")).groupBy("p_brand").agg(F.map_from_entries(F.collect_list("e")).alias("m"))
+    entries.select("p_brand", F.to_json("m").alias("value")).repartition("p_brand").write.partitionBy("p_brand").option("maxRecordsPerFile", 1).text(at)
+    rows = scene_graphs.questions(spark, f"{at}/*", "struct<question:string,size:int>")
+    return rows.select("question_id", "question.question", "question.size")
+
+
+@query(" UNION ALL ".join(f"SELECT o_orderkey AS slot_id, '{name}' AS family, ([{quoted(i for i, _ in rows)}])[1 + {integer('0', str(len(rows) - 1), name).replace('slot_id', 'o_orderkey')}] AS template_id, replace(([{quoted(t for _, t in rows)}])[1 + {integer('0', str(len(rows) - 1), name).replace('slot_id', 'o_orderkey')}], '{{event}}', o_orderpriority) AS text FROM orders" for name, rows in templates.TEMPLATES.items()))
+def template_draws(spark, sf_dir):
+    """A drawn query of each template family for each order, its event filled in."""
+    o = table(spark, sf_dir, "orders")
+    each = F.array(*(F.struct(F.lit(name).alias("family"), templates.query(name, SEED, "train", F.col("o_orderkey"), 0, name, event=F.col("o_orderpriority")).alias("q")) for name in templates.TEMPLATES))
+    return o.select(F.col("o_orderkey").alias("slot_id"), F.inline(each)).select("slot_id", "family", "q.template_id", "q.text")
+
+
+@query(f"""WITH r(cls, family, name) AS (VALUES {", ".join(f"('{r}', '{RELATION_FAMILY[r]}', '{name}')" for r, name in RELATION_NAMES.items())}), o(obj, noun) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in OBJECTS.items())})
+SELECT cls, family, obj, CASE WHEN contains(name, 'eat') THEN noun IN ('food', 'sandwich') WHEN contains(name, 'drink') THEN noun IN ('cup_glass_bottle', 'medicine', 'water') WHEN contains(name, 'stand') THEN noun IN ('floor', 'bed', 'chair', 'table')
+WHEN contains(name, 'sit') THEN noun IN ('chair', 'sofa_couch', 'bed', 'floor', 'table') WHEN contains(name, 'wear') THEN noun IN ('clothes', 'shoe', 'bag') WHEN contains(name, 'wipe') THEN noun IN ('table', 'mirror', 'window', 'floor', 'television', 'refrigerator') ELSE true END AS fits_name FROM r, o""")
+def relation_fit(spark, sf_dir):
+    """Which relations of a family the engine's closed-world negatives allow for each object."""
+    pairs = spark.createDataFrame([(r, f, o, generate.FITTING[f"{f}|{o}"]) for r, f in RELATION_FAMILY.items() for o in OBJECTS], "cls string, family string, obj string, fitting array<string>")
+    return pairs.select("cls", "family", "obj", F.array_contains("fitting", F.col("cls")).alias("fits_name"))

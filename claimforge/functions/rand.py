@@ -28,7 +28,7 @@ def integer(low: Column | int, high: Column | int, *parts: Column | str | int) -
 def shuffled(items: Column, *parts: Column | str | int) -> Column:
     """The array in a random order. Equal items keep their places' own draws."""
     keyed = F.transform(items, lambda x, i: F.struct(key(*parts, i).alias("h"), x.alias("x")))
-    return F.transform(F.array_sort(keyed, lambda a, b: F.when(a.h < b.h, -1).when(a.h > b.h, 1).otherwise(0)), lambda s: s.x)
+    return F.transform(F.sort_array(keyed), lambda s: s.x)
 
 
 def sample(items: Column, n: Column | int, *parts: Column | str | int) -> Column:

@@ -60,6 +60,8 @@ CASE WHEN p % 19 = 0 THEN 0.0::DOUBLE ELSE n * 10.0::DOUBLE + s % 25 END AS star
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw scene graph for each order."""
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("video_id"), F.struct(F.col("l_linenumber").alias("l"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"), F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("e")).alias("x"))
+    # graphs are large beside the lines they are made from: a number of parts that Spark keeps
+    lines = lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "video_id")
     rows = lines.groupBy("video_id").agg(F.sort_array(F.collect_list("x")).alias("l"))
     lists = {"classes": CLASSES, "contacts": CONTACTS, "actions": ACTIONS}
     literal = lambda text: _with_lists(text, lists)

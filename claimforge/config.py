@@ -77,6 +77,10 @@ class Config:
     def distribution(self, name: str) -> dict[str, float]:
         return self.raw["distributions"][name]
 
+    def families(self) -> list[str]:
+        """The families that have a share."""
+        return [f for f, share in self.distribution("reasoning_families").items() if share > 0]
+
     def output(self, split: str | None = None) -> str:
         base = f"{self.raw['paths']['output_dir'].rstrip('/')}/{self.raw['scale']}"
         return f"{base}/{split}" if split else base

@@ -86,8 +86,8 @@ def run(spark: SparkSession, config: Config, train: DataFrame, test: DataFrame |
     left, began, most = sum(config.targets().values()), time.monotonic(), config.raw["generation"]["rounds"]
     for k in count():
         tried = planner.assign_videos(slots.withColumn("attempt", F.lit(k)), videos, config.seed)
-        tried = route(tried, pools, config.seed) if UNTARGETED in config.distribution("reasoning_families") else tried
-        made = generate(tried, pools, config.seed, config.strict)
+        tried = route(tried, pools, config.seed) if UNTARGETED in config.families() else tried
+        made = generate(tried, pools, config.seed, config.strict, config.families())
         made = written(made.withColumn("key", content_key(F.col("video_id"), F.col("query_text"), F.transform("propositions", lambda p: p.text))), f"{at}/made-{k}")
         produced = produced.union(made.agg(F.count("*")))
         fresh = resume(first_wins(made, ["key"], ["split", "slot_id"]), keys, ["key"])

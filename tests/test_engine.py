@@ -274,12 +274,16 @@ def test_untargeted_slots(spark, raw):
     assert n["one", "action"] == 300 and n["one", "temporal"] == 0 and 0.55 < n["SYNTH_VID_001", "temporal"] / 600 < 0.65 and n["one", "object"] + n["SYNTH_VID_001", "object"] == 100
 
 
+#: Two of the families, for small plans.
+TWO = {"action": 0.0, "temporal": 0.0, "compositional": 0.0, "object": 0.5, "spatial_contact": 0.0, "grounding": 0.5}
+
+
 def test_command_line(tmp_path, spark, capsys):
     from claimforge import cli
 
     (tmp_path / "graphs").mkdir()
     (tmp_path / "graphs" / "a.jsonl").write_text("".join(json.dumps(v) + "\n" for v in random_videos(12)))
-    (tmp_path / "c.yaml").write_text(f"splits:\n  target_counts: {{train: 12, val: 4}}\ngeneration:\n  rounds: 1\npaths:\n  output_dir: {tmp_path}/out\n")
+    (tmp_path / "c.yaml").write_text(f"splits:\n  target_counts: {{train: 12, val: 4}}\ngeneration:\n  rounds: 1\npaths:\n  output_dir: {tmp_path}/out\ndistributions:\n  reasoning_families: {json.dumps(TWO)}\n")
     arguments = ["--config", f"{tmp_path}/c.yaml", "--train", f"{tmp_path}/graphs/a.jsonl", "--scale", "10k"]
     first = cli.main(arguments)
     assert "round 0" in capsys.readouterr().out and {p.name for p in (tmp_path / "out" / "10k").iterdir()} >= {"train", "manifest.json", "SAMPLE_REPORT.md", "VALIDATION_REPORT.md", "SPLIT_REPORT.md", "DIVERSITY_REPORT.md"}
@@ -292,7 +296,7 @@ def test_command_line(tmp_path, spark, capsys):
 def test_scene_graphs_as_they_arrive(spark, tmp_path):
     from claimforge.streaming import ingest
 
-    config = Config.load()
+    config = Config.load({"distributions": {"reasoning_families": TWO}})
     videos = random_videos(8)
     (tmp_path / "in").mkdir()
     run = lambda: ingest.start(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state", config, per_video=2).awaitTermination()

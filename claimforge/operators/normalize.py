@@ -24,6 +24,7 @@ def named(ids: Column, names: dict[str, str]) -> Column:
 
 @dataclass
 class SceneGraphs:
+    videos: DataFrame
     splits: DataFrame
     frames: DataFrame
     objects: DataFrame
@@ -37,6 +38,8 @@ def last_wins(df: DataFrame, keys: list[str], position: str) -> DataFrame:
 
 
 def normalize(raw: DataFrame) -> SceneGraphs:
+    """``videos`` are those with a frame or an action."""
+    videos = raw.filter(F.col("video_id").isNotNull() & F.exists(F.map_values("entries"), lambda v: v.type.isin("frame", "action"))).select("video_id").distinct()
     entries = raw.filter("video_id is not null").select("video_id", F.posexplode(F.map_entries("entries")).alias("pos", "e"))
     entries = entries.select("video_id", "pos", F.col("e.key").alias("key"), F.col("e.value").alias("v")).filter("v is not null")
     text = lambda c: F.coalesce(c, F.lit(""))
@@ -59,7 +62,7 @@ def normalize(raw: DataFrame) -> SceneGraphs:
     targets = F.filter(F.transform(F.coalesce("r.item.objects", F.array().cast("array<struct<class:string>>")), lambda o: o["class"]), lambda c: c.isNotNull() & (c != ""))
     relations = rows.select("video_id", "frame_id", text("r.item.id").alias("rel_id"), F.col("r.type").alias("rel_type"), text("r.item.class").alias("class_id"), F.explode(targets).alias("target_class"))
     relations = relations.withColumn("name", named(F.col("class_id"), RELATION_NAMES))
-    return SceneGraphs(splits, frames.drop("vertices"), objects, relations, actions)
+    return SceneGraphs(videos, splits, frames.drop("vertices"), objects, relations, actions)
 
 
 def _tagged(kind: str) -> Column:
@@ -68,14 +71,15 @@ def _tagged(kind: str) -> Column:
 
 def wide_pools(g: SceneGraphs) -> DataFrame:
     """One row per video: present objects and relation triples, actions by start, frames with boxed objects; all sorted."""
-    objects = g.objects.groupBy("video_id").agg(F.sort_array(F.collect_set("class_id")).alias("present_objects"))
+    # objects are read once, for the classes of a video and the boxed ones of its frames
+    box = F.when(F.col("bbox").isNotNull() & (F.col("name") != ""), F.struct("obj_id", "class_id", "name", "bbox"))
+    frames = g.objects.groupBy("video_id", "frame_id").agg(F.collect_set("class_id").alias("classes"), F.sort_array(F.collect_list(box)).alias("objs"))
+    frames = frames.withColumn("frame", F.when(F.size("objs") > 0, F.struct("frame_id", "objs")))
+    objects = frames.groupBy("video_id").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("classes")))).alias("present_objects"), F.sort_array(F.collect_list("frame")).alias("frames"))
     triples = g.relations.filter(F.col("rel_type").isin("attention", "spatial", "contact")).groupBy("video_id")
     triples = triples.agg(F.sort_array(F.collect_set(F.struct(F.col("rel_type").alias("type"), F.col("class_id").alias("cls"), F.col("target_class").alias("obj")))).alias("present_relations"))
     acts = g.actions.filter("phrase <> ''").groupBy("video_id").agg(F.sort_array(F.collect_list(F.struct("start_secs", "pos", "phrase"))).alias("a"))
     acts = acts.select("video_id", F.transform("a", lambda x: F.struct(x.phrase.alias("phrase"), x.start_secs.alias("start_secs"))).alias("actions"))
-    boxed = g.objects.filter("bbox is not null and name <> ''").groupBy("video_id", "frame_id").agg(F.sort_array(F.collect_list(F.struct("obj_id", "class_id", "name", "bbox"))).alias("objs"))
-    boxed = boxed.groupBy("video_id").agg(F.sort_array(F.collect_list(F.struct("frame_id", "objs"))).alias("frames"))
-    videos = g.splits.select("video_id").union(g.actions.select("video_id")).distinct()
-    out = videos.join(objects, "video_id", "left").join(triples, "video_id", "left").join(acts, "video_id", "left").join(boxed, "video_id", "left")
+    out = g.videos.join(objects, "video_id", "left").join(triples, "video_id", "left").join(acts, "video_id", "left")
     empty = {"present_objects": "array<string>", "present_relations": "array<struct<type:string,cls:string,obj:string>>", "actions": "array<struct<phrase:string,start_secs:double>>", "frames": "array<struct<frame_id:string,objs:array<struct<obj_id:string,class_id:string,name:string,bbox:array<double>>>>>"}
     return out.select("video_id", *(F.coalesce(F.col(c), F.array().cast(t)).alias(c) for c, t in empty.items()))

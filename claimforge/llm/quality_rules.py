@@ -3,7 +3,7 @@
 zstandard compresses each whole document and its fixed chunks, which cover all of it. Text that compresses far
 better than prose of its length repeats itself; text that barely compresses is noise. The band of allowed ratios
 depends on the length, since short inputs carry less context. fit() takes the bands from what good documents of
-each length show, from a bounded sample of labelled rows; where it has too few of a length, and without labels, the
+each length show, from all labelled rows; where it has too few of a length, and without labels, the
 general bands below hold. Word and line rules come before the bands.
 
 Null and empty texts have zero counts and fail the word minimum. Every row of the input gives one row, also
@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, id_text, label_sample
+from .common import arrow, id_text, label_rows
 from .vectext import WHITE, Text, U, blocks, group_of, mix, same, sums, text_bytes, within
 
 SYMBOLS = np.zeros(256, bool)
@@ -55,34 +55,37 @@ class Bands:
 TAUGHT = "pmod(crc32(cast(doc_id as string)), 3) <> 1"
 
 
-def fit(docs: DataFrame, labels: DataFrame, bands: Bands = Bands(), label_bound: int = 20_000, least: int = 40, tail: float = 0.002, margin: float = 0.005) -> Bands:
+def fit(docs: DataFrame, labels: DataFrame, bands: Bands = Bands(), least: int = 40, tail: float = 0.002, margin: float = 0.005) -> Bands:
     """``bands`` with limits by octave of length, and for chunks, that leave ``tail`` of the good ratios on each side, and a margin.
 
-    ``label_bound`` bounds the labelled documents that are read. An octave with fewer than ``least`` good documents
-    keeps the limits that ``bands`` has for its longest. Only counts by octave and thousandth of a ratio leave the
-    executors. Documents that fail the base rules, nulls and repeated labels (the smallest counts) teach nothing.
+    All labelled documents count. An octave with fewer than ``least`` good documents keeps the limits that ``bands``
+    has for its longest. Every document whose label may teach is measured where it lies, and only its few ratios meet
+    the labels, so neither texts are shuffled nor a table of labels is broadcast that grows with the corpus; only
+    counts by octave and thousandth of a ratio reach the driver. Documents that fail the base rules, nulls and
+    repeated labels (the smallest counts) teach nothing.
     """
-    good = label_sample(labels, "quality", label_bound, F.expr(TAUGHT)).filter("label = 1")
-    rows = id_text(docs).join(F.broadcast(good), "doc_id").select("text")
+    good = label_rows(labels, "quality", F.expr(TAUGHT)).filter("label = 1").select("doc_id")
+    rows = id_text(docs).filter(F.expr(TAUGHT))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=bands.level, write_content_size=False, write_checksum=False)
-        seen: Counter = Counter()
         for batch in batches:
-            data, offsets = text_bytes(batch.column(0))
+            data, offsets = text_bytes(batch.column(1))
+            ids = batch.column(0).to_pylist()
             for lo, hi in blocks(offsets):
                 text = Text(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 view, failed = memoryview(text.buf), fails(measure(text))
                 thousandths = lambda a, b: round(1000 * len(zip_.compress(view[a:b])) / (b - a))  # noqa: B023, E731
-                for a, b in zip(text.offsets[:-1][~failed].tolist(), text.offsets[1:][~failed].tolist(), strict=True):
-                    seen[(b - a).bit_length(), thousandths(a, b)] += 1
+                seen: Counter = Counter()
+                for d in np.flatnonzero(~failed).tolist():
+                    a, b = int(text.offsets[d]), int(text.offsets[d + 1])
+                    seen[ids[lo + d], (b - a).bit_length(), thousandths(a, b)] += 1
                     for k in range(a, b - bands.chunk_bytes + 1, bands.chunk_bytes):
-                        seen[0, thousandths(k, k + bands.chunk_bytes)] += 1
-        keys = sorted(seen)
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32()), pa.array([seen[k] for k in keys], pa.int64())], ["octave", "ratio", "n"])
+                        seen[ids[lo + d], 0, thousandths(k, k + bands.chunk_bytes)] += 1
+                yield pa.RecordBatch.from_arrays([pa.array([k[j] for k in seen], t) for j, t in enumerate((pa.int64(), pa.int32(), pa.int32()))] + [pa.array(list(seen.values()), pa.int64())], ["doc_id", "octave", "ratio", "n"])
 
     counts: dict[int, list[tuple[int, int]]] = {}
-    for octave, ratio, n in arrow(rows, run, "octave int, ratio int, n long").groupBy("octave", "ratio").agg(F.sum("n")).orderBy("octave", "ratio").collect():
+    for octave, ratio, n in arrow(rows, run, "doc_id long, octave int, ratio int, n long").join(good.hint("merge"), "doc_id").groupBy("octave", "ratio").agg(F.sum("n")).orderBy("octave", "ratio").collect():
         counts.setdefault(octave, []).append((ratio, n))
 
     def limits_of(octave: int) -> tuple[float, float] | None:

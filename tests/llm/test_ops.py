@@ -125,6 +125,17 @@ def test_fitted_bands_on_held_out_labels(spark):
     assert all(quality_rules.limits(none.document, n) == quality_rules.limits(quality_rules.Bands().document, n) for n in (100, 1000, 10_000, 10**6)) and none.chunk == quality_rules.Bands().chunk
 
 
+def test_quality_bands_see_all_labels(spark):
+    """The few documents of a length count however many labels there are."""
+    taught = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1][:60]
+    text = " ".join(f"word{k * k % 997} of{k}" for k in range(120))
+    docs = spark.createDataFrame([(i, f"{text} {i:05}") for i in taught], "doc_id long, text string")
+    labels = spark.range(60_000).selectExpr("id AS doc_id", "1 AS quality")
+    size = len(text.encode()) + 6
+    assert quality_rules.limits(quality_rules.fit(docs, labels, least=60).document, size) != quality_rules.limits(quality_rules.Bands().document, size)
+    assert quality_rules.limits(quality_rules.fit(docs, labels, least=61).document, size) == quality_rules.limits(quality_rules.Bands().document, size)
+
+
 def test_every_byte_is_in_a_judged_chunk():
     rng = np.random.default_rng(2)
     vocabulary = ["".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(3000)]

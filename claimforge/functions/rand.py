@@ -11,7 +11,11 @@ from pyspark.sql import functions as F
 
 def key(*parts: Column | str | int) -> Column:
     """md5 of the parts, joined by ``|``; strings are literals."""
-    return F.md5(F.concat_ws("|", *(p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts)))
+    return F.md5(joined(*parts))
+
+
+def joined(*parts: Column | str | int) -> Column:
+    return F.concat_ws("|", *(p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts))
 
 
 def uniform(*parts: Column | str | int) -> Column:
@@ -27,8 +31,10 @@ def integer(low: Column | int, high: Column | int, *parts: Column | str | int) -
 
 def shuffled(items: Column, *parts: Column | str | int) -> Column:
     """The array in a random order. Equal items keep their places' own draws."""
-    keyed = F.transform(items, lambda x, i: F.struct(key(*parts, i).alias("h"), x.alias("x")))
-    return F.transform(F.sort_array(keyed), lambda s: s.x)
+    # what all keys begin with is joined once, not for each item
+    keyed = lambda p: F.transform(items, lambda x, i: F.struct(F.md5(F.concat(p, i.cast("string"))).alias("h"), x.alias("x")))
+    begin = F.concat(joined(*parts), F.lit("|"))
+    return F.transform(F.sort_array(F.get(F.transform(F.array(begin), keyed), F.lit(0))), lambda s: s.x)
 
 
 def sample(items: Column, n: Column | int, *parts: Column | str | int) -> Column:

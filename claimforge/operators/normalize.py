@@ -32,16 +32,26 @@ class SceneGraphs:
     actions: DataFrame
 
 
-def last_wins(df: DataFrame, keys: list[str], position: str) -> DataFrame:
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.col(position).desc()))
+def last_wins(df: DataFrame, keys: list[str], *position: str) -> DataFrame:
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*map(F.desc, position)))
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def entries_of(raw: DataFrame) -> DataFrame:
+    """(video_id, row, pos, key, v): the entries of raw graphs with a number of their row, which tells rows of one video apart, and their places."""
+    entries = raw.filter("video_id is not null").select("video_id", F.monotonically_increasing_id().alias("row"), "entries").select("video_id", "row", F.posexplode(F.map_entries("entries")).alias("pos", "e"))
+    return entries.select("video_id", "row", "pos", F.col("e.key").alias("key"), F.col("e.value").alias("v"))
+
+
 def normalize(raw: DataFrame) -> SceneGraphs:
     """``videos`` are those with a frame or an action."""
-    videos = raw.filter(F.col("video_id").isNotNull() & F.exists(F.map_values("entries"), lambda v: v.type.isin("frame", "action"))).select("video_id").distinct()
-    entries = raw.filter("video_id is not null").select("video_id", F.posexplode(F.map_entries("entries")).alias("pos", "e"))
-    entries = entries.select("video_id", "pos", F.col("e.key").alias("key"), F.col("e.value").alias("v")).filter("v is not null")
+    return normalize_entries(entries_of(raw))
+
+
+def normalize_entries(entries: DataFrame) -> SceneGraphs:
+    """The same from rows of entries_of(): where they are made row by row, no graph has to be put together and taken apart."""
+    entries = entries.filter("video_id is not null and v is not null")
+    videos = entries.filter(F.col("v.type").isin("frame", "action")).select("video_id").distinct()
     text = lambda c: F.coalesce(c, F.lit(""))
     actions = entries.filter("v.type = 'action'").select(
         "video_id", "pos", F.coalesce("v.id", "key").alias("action_id"), text("v.charades").alias("charades_id"), text("v.phrase").alias("phrase"),
@@ -50,25 +60,25 @@ def normalize(raw: DataFrame) -> SceneGraphs:
     )
     of_frames = entries.filter("v.type = 'frame'")
     splits = of_frames.groupBy("video_id").agg(F.coalesce(F.max_by("v.metadata", F.when(F.col("v.metadata").isNotNull(), F.col("pos"))), F.lit("unknown")).alias("split"))
-    frames = last_wins(of_frames.select("video_id", "pos", F.coalesce("v.id", "key").alias("frame_id"), F.coalesce("v.secs", F.lit(0.0)).alias("secs"), F.col("v.vertices").alias("vertices")), ["video_id", "frame_id"], "pos")
-    vertices = frames.select("video_id", "frame_id", "secs", F.posexplode("vertices").alias("at", "x")).filter("x is not null")
+    frames = last_wins(of_frames.select("video_id", "pos", F.coalesce("v.id", "key").alias("frame_id"), F.coalesce("v.secs", F.lit(0.0)).alias("secs"), F.col("v.vertices").alias("vertices"), "row"), ["video_id", "frame_id"], "pos", "row").drop("row")
     box = F.when(F.size("x.bbox") == 4, F.col("x.bbox"))
-    objects = vertices.select(
-        "video_id", "frame_id", "secs", "at", text("x.id").alias("obj_id"), text("x.class").alias("class_id"), F.coalesce("x.visible", F.lit(True)).alias("visible"), box.alias("bbox"),
+    # the fields of objects are taken out before the last frame of an id is known, so that no whole vertex is sorted or shuffled for them
+    objects = of_frames.select("video_id", "row", "pos", F.coalesce("v.id", "key").alias("frame_id"), F.coalesce("v.secs", F.lit(0.0)).alias("secs"), F.posexplode_outer("v.vertices").alias("at", "x"))
+    objects = objects.select(
+        "video_id", "row", "pos", "frame_id", "secs", "at", text("x.id").alias("obj_id"), text("x.class").alias("class_id"), F.coalesce("x.visible", F.lit(True)).alias("visible"), box.alias("bbox"), F.col("x").isNotNull().alias("real"),
     )
+    last = F.rank().over(W.partitionBy("video_id", "frame_id").orderBy(F.desc("pos"), F.desc("row")))
+    objects = objects.withColumn("_rank", last).filter("_rank = 1 and real").drop("_rank", "real", "row", "pos")
     objects = last_wins(objects, ["video_id", "frame_id", "obj_id"], "at").withColumn("name", named(F.col("class_id"), OBJECTS)).drop("at")
-    lists = F.concat(*(_tagged(kind) for kind in ("attention", "contact", "spatial", "verb")))
-    rows = vertices.select("video_id", "frame_id", F.explode(lists).alias("r"))
-    targets = F.filter(F.transform(F.coalesce("r.item.objects", F.array().cast("array<struct<class:string>>")), lambda o: o["class"]), lambda c: c.isNotNull() & (c != ""))
-    relations = rows.select("video_id", "frame_id", text("r.item.id").alias("rel_id"), F.col("r.type").alias("rel_type"), text("r.item.class").alias("class_id"), F.explode(targets).alias("target_class"))
+    vertices = frames.select("video_id", "frame_id", F.explode("vertices").alias("x")).filter("x is not null")
+    kinds = F.array(*(F.struct(F.lit(kind).alias("type"), F.coalesce(F.col(f"x.{kind}"), F.array().cast(RELATION_ITEM)).alias("items")) for kind in ("attention", "contact", "spatial", "verb")))
+    rows = vertices.select("video_id", "frame_id", F.explode(kinds).alias("k")).select("video_id", "frame_id", "k.type", F.explode("k.items").alias("item"))
+    relations = rows.select("video_id", "frame_id", text("item.id").alias("rel_id"), F.col("type").alias("rel_type"), text("item.class").alias("class_id"), F.explode("item.objects").alias("target"))
+    relations = relations.withColumn("target_class", F.col("target.class")).drop("target").filter("target_class <> ''")
     relations = relations.withColumn("name", named(F.col("class_id"), RELATION_NAMES))
     return SceneGraphs(videos, splits, frames.drop("vertices"), objects, relations, actions)
 
 
-def _tagged(kind: str) -> Column:
-    return F.transform(F.coalesce(F.col(f"x.{kind}"), F.array().cast(RELATION_ITEM)), lambda r: F.struct(F.lit(kind).alias("type"), r.alias("item")))
-
-
 def wide_pools(g: SceneGraphs) -> DataFrame:
     """One row per video: present objects and relation triples, actions by start, frames with boxed objects; all sorted."""
     # objects are read once, for the classes of a video and the boxed ones of its frames

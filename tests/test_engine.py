@@ -6,7 +6,7 @@ import json
 from collections import Counter
 
 import pytest
-from conftest import action, fixture_video, random_videos
+from conftest import action, fixture_video, frame, random_videos, vertex
 from pyspark.sql import functions as F
 
 from claimforge.config import Config
@@ -333,3 +333,22 @@ def test_sources(spark, tmp_path):
     assert dict(scene_graphs.stream_questions(str(tmp_path / "q.json"))) == table
     assert scene_graphs.questions(spark, str(tmp_path / "q.json"), "struct<question:string,n:int>").filter("question.n = 299").count() == 1
     assert scene_graphs.first_existing(str(tmp_path / "no"), str(tmp_path / "q.json")) == str(tmp_path / "q.json")
+
+
+def test_scenes_make_only_what_a_plan_reads(spark):
+    """No graph is put together as a map to be taken apart again."""
+    from claimforge.plans import scenes, star  # noqa: F401  scenes adds its queries
+
+    plan = lambda name: star.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("map_from_entries" in plan(name) for name in ("wide_pools", "claims_relation", "normalized_objects"))
+
+
+def test_objects_of_a_video_that_comes_twice(raw):
+    """The last copy of a frame wins as a whole, also one without vertices and one at the same place of another row."""
+    a = {"video_id": "v", "entries": dict([frame(1, 1.0, [vertex(1, "o8", contact=["r21"]), vertex(2, "o17")])])}
+    b = {"video_id": "v", "entries": dict([frame(1, 1.0, [vertex(3, "o36", spatial=["r6"])])])}
+    g = normalize.normalize(raw([a, b]))
+    assert sorted(r.class_id for r in g.objects.collect()) in (["o17", "o8"], ["o36"]) and g.frames.count() == 1
+    key, late = frame(1, 2.0, [])
+    g = normalize.normalize(raw([{"video_id": "v", "entries": {**a["entries"], "later": late}}]))
+    assert g.frames.count() == 1 and g.objects.count() == 0 and g.relations.count() == 0

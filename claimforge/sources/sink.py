@@ -32,18 +32,20 @@ def write(accepted: DataFrame, path: str, shard_size: int = 50_000) -> None:
     Rows are written beside the split's folder by Spark's commit protocol and then moved, so a folder never holds half a
     shard. What a broken run leaves behind begins with an underscore, which readers skip.
     """
-    out, spark = rows(accepted), accepted.sparkSession
+    out, spark, splits = rows(accepted), accepted.sparkSession, ("train", "val", "test")
     fs, of = hadoop(spark, path)
-    for split in ("train", "val", "test"):
-        staged, final = of(f"{path}/_new-{split}-{uuid.uuid4().hex}"), of(f"{path}/{split}")
-        out.filter(F.col("split") == split).write.option("maxRecordsPerFile", shard_size).parquet(staged.toString())
+    # all splits in one pass: the rows are made once
+    new = f"{path}/_new-{uuid.uuid4().hex}"
+    out.filter(F.col("split").isin(*splits)).withColumn("_split", F.col("split")).write.partitionBy("_split").option("maxRecordsPerFile", shard_size).parquet(new)
+    names = lambda at: sorted(x.getPath().getName() for x in (fs.listStatus(at) if fs.exists(at) else ()) if x.getPath().getName().startswith("part-"))
+    for split in splits:
+        staged, final = of(f"{new}/_split={split}"), of(f"{path}/{split}")
         fs.mkdirs(final)
-        names = lambda at: sorted(x.getPath().getName() for x in fs.listStatus(at) if x.getPath().getName().startswith("part-"))
         first = max((int(n[5:11]) + 1 for n in names(final) if n[5:11].isdigit()), default=0)
         for k, name in enumerate(names(staged)):
             if not fs.rename(of(f"{staged.toString()}/{name}"), of(f"{path}/{split}/part-{first + k:06}.parquet")):
                 raise OSError(f"{name} could not be moved to {path}/{split}")
-        fs.delete(staged, True)
+    fs.delete(of(new), True)
 
 
 def hadoop(spark: SparkSession, path: str):

@@ -352,3 +352,20 @@ def test_objects_of_a_video_that_comes_twice(raw):
     key, late = frame(1, 2.0, [])
     g = normalize.normalize(raw([{"video_id": "v", "entries": {**a["entries"], "later": late}}]))
     assert g.frames.count() == 1 and g.objects.count() == 0 and g.relations.count() == 0
+
+
+def test_sink_makes_its_rows_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    one = "named_struct('text', 't', 'truth_state', 'TRUE', 'label', cast(1 as tinyint))"
+    made = spark.range(30).selectExpr("concat('e', id) AS example_id", "elt(1 + id % 3, 'train', 'val', 'test') AS split", "cast(id AS string) AS video_id").mapInArrow(count, "example_id string, split string, video_id string")
+    made = made.selectExpr("*", "'q' AS query_text", f"array({one}) AS propositions", "'binary' AS task_type", "named_struct('family', 'object') AS reasoning", "'g' AS generator_family")
+    for k in (1, 2):
+        sink.write(made, str(tmp_path), 4)
+        assert seen.value == 30 * k and {s: spark.read.schema(SINK).parquet(f"{tmp_path}/{s}").count() for s in ("train", "val", "test")} == dict.fromkeys(("train", "val", "test"), 10 * k)
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith("_")]

@@ -23,7 +23,7 @@ from ..config import Config
 from ..operators import planner
 from ..operators.dedup import content_key, first_wins, resume
 from ..operators.generate import UNTARGETED, generate, route
-from ..operators.normalize import normalize, wide_pools
+from ..operators.normalize import SceneGraphs, normalize, wide_pools
 from ..operators.validate import rejection_reasons, validate
 from ..sources import sink
 
@@ -125,9 +125,9 @@ def publish(spark: SparkSession, config: Config, result: Run) -> None:
         sink.write_text(spark, f"{path}/{name}", text)
 
 
-def register_views(spark: SparkSession, raw: DataFrame) -> None:
-    """The normalized tables and pools as SQL views."""
-    g = normalize(raw)
+def register_views(spark: SparkSession, raw: DataFrame | SceneGraphs) -> None:
+    """The normalized tables and pools as SQL views, of raw graphs or of such as are normalized."""
+    g = raw if isinstance(raw, SceneGraphs) else normalize(raw)
     for name in ("splits", "frames", "objects", "relations", "actions"):
         getattr(g, name).createOrReplaceTempView(name)
     wide_pools(g).createOrReplaceTempView("pools")

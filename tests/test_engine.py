@@ -340,7 +340,7 @@ def test_scenes_make_only_what_a_plan_reads(spark):
     from claimforge.plans import scenes, star  # noqa: F401  scenes adds its queries
 
     plan = lambda name: star.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
-    assert not any("map_from_entries" in plan(name) for name in ("wide_pools", "claims_relation", "normalized_objects"))
+    assert not any("map_from_entries" in plan(name) for name in ("wide_pools", "claims_relation", "normalized_objects", "object_view"))
 
 
 def test_objects_of_a_video_that_comes_twice(raw):

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import rand
-from ..schemas import RELATION_ITEM
+from ..schemas import RELATION_ITEM, VERTEX
 from ..vocab import OBJECTS, RELATION_NAMES
 
 
@@ -93,3 +93,56 @@ def wide_pools(g: SceneGraphs) -> DataFrame:
     out = g.videos.join(objects, "video_id", "left").join(triples, "video_id", "left").join(acts, "video_id", "left")
     empty = {"present_objects": "array<string>", "present_relations": "array<struct<type:string,cls:string,obj:string>>", "actions": "array<struct<phrase:string,start_secs:double>>", "frames": "array<struct<frame_id:string,objs:array<struct<obj_id:string,class_id:string,name:string,bbox:array<double>>>>>"}
     return out.select("video_id", *(F.coalesce(F.col(c), F.array().cast(t)).alias(c) for c, t in empty.items()))
+
+
+def bound(value: Column, f) -> Column:
+    """f(value), with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def last_of(items: Column, key: str) -> Column:
+    """The last of each key of an array that is sorted by the key."""
+    return bound(items, lambda s: F.filter(s, lambda x, i: F.coalesce(F.get(s, i + 1)[key] != x[key], F.lit(True))))
+
+
+def frame_part(key: Column, v: Column, at: Column, row: Column) -> Column:
+    """What pools need of an entry; null if it is no frame."""
+    text, listed = (lambda c: F.coalesce(c, F.lit(""))), (lambda c, t: F.coalesce(c, F.array().cast(t)))
+    vertices = listed(v.vertices, f"array<{VERTEX}>")
+    box = lambda x: F.when(F.size(x.bbox) == 4, x.bbox)
+    thing = lambda x, i: F.when(x.isNotNull(), F.struct(text(x.id).alias("obj_id"), i.alias("at"), text(x["class"]).alias("class_id"), box(x).alias("bbox")))
+    target = "array<struct<class:string>>"
+    triple = lambda kind: lambda r: F.transform(F.filter(listed(r.objects, target), lambda t: t["class"] != ""), lambda t: F.struct(F.lit(kind).alias("type"), text(r["class"]).alias("cls"), t["class"].alias("obj")))
+    triples = lambda x: F.flatten(F.concat(*(F.transform(listed(x[kind], RELATION_ITEM), triple(kind)) for kind in ("attention", "contact", "spatial"))))
+    parts = (F.array_compact(F.transform(vertices, thing)).alias("objs"), F.flatten(F.transform(vertices, triples)).alias("triples"))
+    return F.when(v.type == "frame", F.struct(F.coalesce(v.id, key).alias("frame_id"), at.cast("long").alias("pos"), row.alias("row"), *parts))
+
+
+def action_part(v: Column, at: Column) -> Column:
+    """The same of an action; one without a phrase counts as an entry of its video only."""
+    return F.when(v.type == "action", F.struct(F.coalesce(v.start, F.lit(0.0)).alias("start_secs"), at.cast("long").alias("pos"), F.coalesce(v.phrase, F.lit("")).alias("phrase")))
+
+
+def pools_of(parts: DataFrame) -> DataFrame:
+    """The same as wide_pools() from (video_id, frames, actions), arrays of parts, each row by itself: no sort, shuffle or join of rows."""
+    objs = lambda f: last_of(F.sort_array(f.objs), "obj_id")
+    last = last_of(F.sort_array("frames"), "frame_id")
+    rows = parts.select("video_id", "actions", F.transform(last, lambda f: F.struct(f.frame_id.alias("frame_id"), objs(f).alias("objs"), f.triples.alias("triples"))).alias("last"))
+    boxed = lambda o: F.struct(o.obj_id.alias("obj_id"), o.class_id.alias("class_id"), named(o.class_id, OBJECTS).alias("name"), o.bbox.alias("bbox"))
+    boxes = lambda f: F.filter(F.transform(F.filter(f.objs, lambda o: o.bbox.isNotNull()), boxed), lambda o: o["name"] != "")
+    distinct = lambda items: bound(F.sort_array(items), lambda s: F.filter(s, lambda x, i: (i == 0) | (F.get(s, i - 1) != x)))
+    return rows.select(
+        "video_id", F.sort_array(F.array_distinct(F.flatten(F.transform("last", lambda f: F.transform(f.objs, lambda o: o.class_id))))).alias("present_objects"),
+        distinct(F.flatten(F.transform("last", lambda f: f.triples))).alias("present_relations"),
+        F.transform(F.sort_array(F.filter("actions", lambda a: a.phrase != "")), lambda a: F.struct(a.phrase.alias("phrase"), a.start_secs.alias("start_secs"))).alias("actions"),
+        F.filter(F.transform("last", lambda f: F.struct(f.frame_id.alias("frame_id"), boxes(f).alias("objs"))), lambda f: F.size(f.objs) > 0).alias("frames"),
+    )
+
+
+def video_pools(raw: DataFrame) -> DataFrame:
+    """wide_pools() of raw graphs. Only the parts that pools need are shuffled, to join the rows of a video that comes more than once."""
+    rows = raw.filter("video_id is not null and entries is not null").select("video_id", F.monotonically_increasing_id().alias("row"), F.map_entries("entries").alias("entries"))
+    of = {"frames": lambda e, i: frame_part(e.key, e.value, i, F.col("row")), "actions": lambda e, i: action_part(e.value, i)}
+    parts = rows.select("video_id", *(F.array_compact(F.transform("entries", f)).alias(name) for name, f in of.items()))
+    parts = parts.filter((F.size("frames") > 0) | (F.size("actions") > 0)).groupBy("video_id")
+    return pools_of(parts.agg(*(F.flatten(F.collect_list(c)).alias(c) for c in of)))

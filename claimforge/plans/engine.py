@@ -23,7 +23,7 @@ from ..config import Config
 from ..operators import planner
 from ..operators.dedup import content_key, first_wins, resume
 from ..operators.generate import UNTARGETED, generate, route
-from ..operators.normalize import SceneGraphs, normalize, wide_pools
+from ..operators.normalize import SceneGraphs, normalize, video_pools, wide_pools
 from ..operators.validate import rejection_reasons, validate
 from ..sources import sink
 
@@ -69,7 +69,7 @@ def run(spark: SparkSession, config: Config, train: DataFrame, test: DataFrame |
     ``progress`` is told of each round."""
     at = scratch(spark)
     raw = train if test is None else train.unionByName(test)
-    pools = written(wide_pools(normalize(raw)), f"{at}/pools")
+    pools = written(video_pools(raw), f"{at}/pools")
     videos = written(splits_of(train, test, config.seed, config.raw["splits"]["val_share"]), f"{at}/videos")
     sizes = {r.split: r["count"] for r in videos.groupBy("split").count().collect()}
     there = {r.split: r["count"] for r in existing.groupBy("split").count().collect()} if existing is not None else {}

@@ -10,7 +10,7 @@ from ..config import Config
 from ..operators import planner
 from ..operators.dedup import content_key, first_wins
 from ..operators.generate import generate
-from ..operators.normalize import normalize, wide_pools
+from ..operators.normalize import video_pools
 from ..operators.validate import validate
 from ..schemas import RAW
 from ..sources import sink
@@ -21,7 +21,7 @@ def claims_of(spark: SparkSession, config: Config, raw: DataFrame, per_video: in
     videos = raw.select("video_id").dropna().distinct().withColumn("split", F.lit("train"))
     n = videos.count() * per_video
     slots = planner.assign_videos(planner.plan(spark, config, "train", n).withColumn("attempt", F.lit(0)), videos, config.seed + batch)
-    made = generate(slots, wide_pools(normalize(raw)), config.seed + batch, config.strict, config.families())
+    made = generate(slots, video_pools(raw), config.seed + batch, config.strict, config.families())
     made = made.withColumn("key", content_key(F.col("video_id"), F.col("query_text"), F.transform("propositions", lambda p: p.text)))
     return validate(first_wins(made, ["key"], ["slot_id"])).filter("is_valid")
 

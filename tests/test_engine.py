@@ -387,3 +387,20 @@ def test_diversity_makes_its_claims_once(spark, monkeypatch):
     monkeypatch.setattr(engine, "written", lambda df, path: calls.append(path) or write(df, path))
     plan = star.QUERIES["claim_diversity"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert len(calls) == 1 and "lineitem" not in plan and "l_orderkey" not in plan and scenes
+
+
+def test_pools_row_by_row(raw):
+    """The same as from the normalized tables, also for videos in several rows, null entries and vertices, and entries of no use; a query over orders sorts their lines once."""
+    from claimforge.plans import scenes, star  # noqa: F401  scenes adds its queries
+
+    key, empty = frame(1, 2.0, [])
+    holes = frame(2, 1.0, [None, vertex(1, "o99", contact=["r15"]), vertex(1, "o8", None, verb=["v1"])])
+    videos = [*random_videos(20), {"video_id": "V00003", "entries": {"late": empty, **dict([holes, action(9, "", 3, 4)])}}, {"video_id": "none", "entries": None}, {"video_id": None, "entries": {key: empty}}]
+    videos += [{"video_id": "odd", "entries": {"a": None, "b": {"type": "other"}}}, {"video_id": "bare", "entries": {"z": {"type": "action"}}}]
+    rows = raw(videos).coalesce(1)
+    want = {r.video_id: r for r in normalize.wide_pools(normalize.normalize(rows)).collect()}
+    got = {r.video_id: r for r in normalize.video_pools(rows).collect()}
+    assert got == want and "bare" in got and "odd" not in got
+    for name in ("content_keys", "claims_relation", "claims_order", "claim_samples"):
+        plan = star.QUERIES[name](rows.sparkSession, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert sum("Relation [l_orderkey" in line for line in plan.splitlines()) == 1

@@ -31,16 +31,28 @@ def integer(low: Column | int, high: Column | int, *parts: Column | str | int) -
 
 def shuffled(items: Column, *parts: Column | str | int) -> Column:
     """The array in a random order. Equal items keep their places' own draws."""
+    return sample(items, None, *parts)
+
+
+def places(size: Column, *parts: Column | str | int) -> Column:
+    """0 ... size - 1 in a random order, each as text behind its key of 32 letters: what is sorted stays small, whatever the items are."""
     # what all keys begin with is joined once, not for each item
-    keyed = lambda p: F.transform(items, lambda x, i: F.struct(F.md5(F.concat(p, i.cast("string"))).alias("h"), x.alias("x")))
+    keyed = lambda p: F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.concat(F.md5(F.concat(p, i.cast("string"))), i.cast("string")))
     begin = F.concat(joined(*parts), F.lit("|"))
-    return F.transform(F.sort_array(F.get(F.transform(F.array(begin), keyed), F.lit(0))), lambda s: s.x)
+    sorted_keys = F.sort_array(F.get(F.transform(F.array(begin), keyed), F.lit(0)))
+    return F.when(size > 0, sorted_keys).when(size == 0, F.array().cast("array<string>"))
+
+
+def at_places(items: Column, keys: Column) -> Column:
+    """The items at places()."""
+    return F.transform(keys, lambda s: F.get(items, F.substring(s, 33, 10).cast("int")))
 
 
 def sample(items: Column, n: Column | int, *parts: Column | str | int) -> Column:
     """``n`` items without replacement, all where there are fewer."""
-    n = n if isinstance(n, Column) else F.lit(n)
-    return F.slice(shuffled(items, *parts), 1, F.greatest(n, F.lit(0)))
+    first = (lambda keys: keys) if n is None else (lambda keys: F.slice(keys, 1, F.greatest(n if isinstance(n, Column) else F.lit(n), F.lit(0))))
+    drawn = lambda v: at_places(v, first(places(F.size(v), *parts)))
+    return F.get(F.transform(F.array(items), drawn), F.lit(0))
 
 
 def pick(items: Column, *parts: Column | str | int) -> Column:

@@ -48,7 +48,8 @@ def action(phrase: Column, negative: bool = False) -> Column:
 
 def bare_event(event: Column) -> Column:
     """An event without "The person (is)" before it and a full stop behind it."""
-    return F.regexp_replace(F.regexp_replace(event, r"^The person (is )?", ""), r"\.$", "")
+    bare = F.regexp_replace(F.regexp_replace(event, r"^The person (is )?", ""), r"\.$", "")
+    return F.when(event.startswith("The person ") | event.contains("."), bare).otherwise(event)
 
 
 def temporal(a: Column, b: Column, relation_word: Column | str = "before", negative: bool = False) -> Column:

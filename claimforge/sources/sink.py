@@ -77,8 +77,10 @@ DIMENSIONS = {
 
 
 def counts_table(accepted: DataFrame) -> DataFrame:
-    """(dimension, value, n, share) of each of DIMENSIONS, in one pass: a row becomes a pair for each dimension, and pairs are counted."""
-    pairs = F.array(*(F.struct(F.lit(d).alias("dimension"), F.expr(e).cast("string").alias("value")) for d, e in DIMENSIONS.items()))
+    """(dimension, value, n, share) of each of DIMENSIONS, in one pass: a row becomes a pair for each dimension, and pairs are counted.
+    Options are not read where ``accepted`` has their number as ``option_count``."""
+    of = {**DIMENSIONS, **({"k_counts": "option_count"} if "option_count" in accepted.columns else {})}
+    pairs = F.array(*(F.struct(F.lit(d).alias("dimension"), F.expr(e).cast("string").alias("value")) for d, e in of.items()))
     n = accepted.select(F.inline(pairs)).groupBy("dimension", "value").agg(F.count("*").alias("n"))
     return n.withColumn("share", F.round(F.col("n") / F.sum("n").over(W.partitionBy("dimension")), 6))
 

@@ -415,3 +415,20 @@ def test_claims_draw_once(spark):
     drawn = {name: plan(name).count(", positive)") for name in ("claims_object", "claims_relation", "claims_order", "claims_box", "claims_pair", "claims_action")}
     spark.conf.unset("spark.sql.debug.maxToStringFields")
     assert all(0 < n <= 3 for n in drawn.values()), drawn
+
+
+def test_a_plan_makes_only_the_options_and_pools_it_reads(spark):
+    """Samples and counts read no option, so none is made; claims on objects need no relation of a vertex."""
+    from claimforge.plans import scenes
+
+    plan = lambda name: getattr(scenes, name)(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "truth_state" in plan("content_keys")
+    assert all("truth_state" not in plan(name) for name in ("claim_samples", "claim_counts"))
+    assert "AS triples" not in plan("content_keys") and "AS boxes" not in plan("content_keys")
+
+
+def test_options_are_as_many_as_counted(spark, raw):
+    slots = spark.createDataFrame([(s, f, t, k) for s, (f, t, k) in enumerate((f, t, k) for f in ("object", "temporal", "spatial_contact") for t, k in (("single_choice", 5), ("multi_label", 40), ("binary", 2), ("three_way", 3)))], "slot_id long, family string, task_type string, k int")
+    slots = slots.selectExpr("'train' AS split", "slot_id", "0 AS attempt", "family", "task_type", "k", "2 AS hops", "'hard' AS difficulty", "'SYNTH_VID_001' AS video_id")
+    rows = generate.generate(slots, normalize.video_pools(raw([fixture_video()])), counted=True).collect()
+    assert len(rows) > 9 and all(r.option_count == len(r.propositions) > 1 for r in rows)

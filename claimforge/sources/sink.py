@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 from ..operators.dedup import content_key, evidence_signature
 from ..schemas import SINK
 
+#: Files that are moved at a time.
+MOVES = 16
+
 
 def rows(accepted: DataFrame) -> DataFrame:
     """The eleven columns of the sink. A null query is empty, a null label -1, and the truth state that of the first option."""
@@ -37,14 +41,21 @@ def write(accepted: DataFrame, path: str, shard_size: int = 50_000) -> None:
     # all splits in one pass: the rows are made once
     new = f"{path}/_new-{uuid.uuid4().hex}"
     out.filter(F.col("split").isin(*splits)).withColumn("_split", F.col("split")).write.partitionBy("_split").option("maxRecordsPerFile", shard_size).parquet(new)
-    names = lambda at: sorted(x.getPath().getName() for x in (fs.listStatus(at) if fs.exists(at) else ()) if x.getPath().getName().startswith("part-"))
+    listed = lambda at: (x.getPath().getName() for x in (fs.listStatus(at) if fs.exists(at) else ()))
+    names = lambda at: sorted(n for n in listed(at) if n.startswith("part-"))
     for split in splits:
-        staged, final = of(f"{new}/_split={split}"), of(f"{path}/{split}")
+        staged, final = f"{new}/_split={split}", of(f"{path}/{split}")
         fs.mkdirs(final)
         first = max((int(n[5:11]) + 1 for n in names(final) if n[5:11].isdigit()), default=0)
-        for k, name in enumerate(names(staged)):
-            if not fs.rename(of(f"{staged.toString()}/{name}"), of(f"{path}/{split}/part-{first + k:06}.parquet")):
+
+        def move(numbered: tuple[int, str], staged: str = staged, split: str = split, first: int = first) -> None:
+            k, name = numbered
+            if not fs.rename(of(f"{staged}/{name}"), of(f"{path}/{split}/part-{first + k:06}.parquet")):
                 raise OSError(f"{name} could not be moved to {path}/{split}")
+
+        # a move waits for the file system, so many go on at a time
+        with ThreadPoolExecutor(MOVES) as pool:
+            list(pool.map(move, enumerate(names(of(staged)))))
     fs.delete(of(new), True)
 
 

@@ -4,6 +4,7 @@ import dataclasses
 import itertools
 import json
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -239,6 +240,34 @@ def test_shards_are_numbered(made, spark, tmp_path):
     assert sink.existing_keys(spark, str(tmp_path)).count() == 2 * n
 
 
+def test_shards_are_moved_side_by_side(spark, tmp_path, monkeypatch):
+    """A move waits for the file system; a run of many shards does not add up all waits. A move that fails is an error."""
+    under_way, most, hadoop = [], [], sink.hadoop
+
+    class Slow:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            under_way.append(a)
+            time.sleep(0.2)
+            most.append(len(under_way))
+            under_way.remove(a)
+            return not b.toString().startswith(f"{tmp_path}/bad") and self.fs.rename(a, b)
+
+    monkeypatch.setattr(sink, "hadoop", lambda spark, path: (Slow(hadoop(spark, path)[0]), hadoop(spark, path)[1]))
+    option = "array(named_struct('text', concat('o', id), 'truth_state', 'TRUE', 'label', 1Y)) AS propositions"
+    rows = spark.range(12).selectExpr("concat('e', id) AS example_id", "'train' AS split", "concat('v', id) AS video_id", "'q' AS query_text", option, "'binary' AS task_type", "named_struct('family', 'object') AS reasoning", "'g' AS generator_family")
+    sink.write(rows, f"{tmp_path}/good", 1)
+    assert max(most) > 1 and sorted(p.name for p in (tmp_path / "good" / "train").glob("part-*")) == [f"part-{k:06}.parquet" for k in range(12)]
+    assert sink.existing_keys(spark, f"{tmp_path}/good").distinct().count() == 12
+    with pytest.raises(OSError, match="could not be moved"):
+        sink.write(rows, f"{tmp_path}/bad", 1)
+
+
 def test_export_and_subtypes(made, spark):
     rows = made[False]
     one = json.loads(sink.as_json(rows).first().json)
